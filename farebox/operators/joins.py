@@ -17,7 +17,7 @@ from farebox.tables import Tables
 def join_inner(t: Tables) -> DataFrame:
     joined = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
     return joined.groupBy("c_mktsegment", "o_orderpriority").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
+        F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")
     )
 
 
@@ -31,7 +31,7 @@ def join_left(t: Tables) -> DataFrame:
     returned = (
         t.lineitem.filter("l_returnflag = 'R'")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum("l_quantity").alias("qty"))
+        .agg(F.count("*").alias("lines"), F.sum("l_quantity").alias("qty"))
     )
     return (
         t.orders.select("o_orderkey")
@@ -115,7 +115,7 @@ def join_theta_range(t: Tables) -> DataFrame:
         (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts"))
     )
     return inside.groupBy("spell").agg(
-        F.count(F.lit(1)).alias("events_inside"), F.round(F.sum("value"), 2).alias("value_inside")
+        F.count("*").alias("events_inside"), F.round(F.sum("value"), 2).alias("value_inside")
     )
 
 
@@ -148,7 +148,7 @@ def join_broadcast(t: Tables) -> DataFrame:
     return (
         t.customer.join(broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name", "r_name")
-        .agg(F.count(F.lit(1)).alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+        .agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
     )
 
 
@@ -173,7 +173,7 @@ def join_self_alias(t: Tables) -> DataFrame:
             F.col("a.l_partkey").alias("part"),
             F.col("b.l_partkey").alias("next_part"),
         )
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count("*").alias("n"))
     )
 
 
@@ -192,11 +192,11 @@ def join_cogroup(t: Tables) -> DataFrame:
     large group is never held in one place.
     """
     customers = t.customer.groupBy(F.col("c_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).alias("customers"),
+        F.count("*").alias("customers"),
         F.array_join(F.array_sort(F.collect_set("c_mktsegment")), ",").alias("segments"),
     )
     suppliers = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(
-        F.count(F.lit(1)).alias("suppliers"), F.round(F.max("s_acctbal"), 2).alias("best")
+        F.count("*").alias("suppliers"), F.round(F.max("s_acctbal"), 2).alias("best")
     )
     names = t.nation.select(F.col("n_nationkey").alias("nation"), "n_name")
     return customers.join(suppliers, "nation", "full").join(names, "nation", "full")

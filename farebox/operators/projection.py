@@ -141,7 +141,7 @@ def filter_null_safe(t: Tables) -> DataFrame:
 @query(
     "nested_access",
     """SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS first_value, label AS tag,
-         round(CAST(embedding[2] AS DOUBLE) * label, 8) AS scaled, embedding[1000] IS NULL AS beyond,
+         round(CAST(embedding[2] AS DOUBLE) * (label + 1), 8) AS scaled, embedding[1000] IS NULL AS beyond,
          CASE WHEN label = 3 THEN 'three' END AS named, NOT (label > 4) AS low FROM embeddings""",
 )
 def nested_access(t: Tables) -> DataFrame:
@@ -163,7 +163,7 @@ def nested_access(t: Tables) -> DataFrame:
         "vec_id",
         "first_value",
         "tag",
-        "round(CAST(rec.values[1] AS DOUBLE) * rec.tag, 8) AS scaled",
+        "round(CAST(rec.values[1] AS DOUBLE) * (rec.tag + 1), 8) AS scaled",
         "beyond",
         "try_element_at(names, rec.tag) AS named",
         "NOT (rec.tag > 4) AS low",
@@ -242,7 +242,7 @@ def na_drop(t: Tables) -> DataFrame:
     for how, rows in kept.items():
         part = rows.select(F.lit(how).alias("how"), "c_custkey")
         both = part if both is None else both.union(part)
-    return both.groupBy("how").agg(F.count(F.lit(1)).alias("n"), F.sum("c_custkey").alias("key_sum"))
+    return both.groupBy("how").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("key_sum"))
 
 
 @query(
@@ -273,13 +273,13 @@ def sample_uniform(t: Tables) -> DataFrame:
     lines = t.lineitem.select("l_orderkey", "l_linenumber")
     once = lines.sample(fraction=0.05, seed=7).withColumn("kind", F.lit("without replacement"))
     again = lines.sample(withReplacement=True, fraction=0.05, seed=7).withColumn("kind", F.lit("with replacement"))
-    return once.union(again).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    return once.union(again).groupBy("kind").agg(F.count("*").alias("n"))
 
 
 @query("sample_stratified")
 def sample_stratified(t: Tables) -> DataFrame:
     fractions = {"click": 0.1, "view": 0.2, "purchase": 1.0}
-    return t.events.sampleBy("event_type", fractions, seed=11).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    return t.events.sampleBy("event_type", fractions, seed=11).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("sample_split")
@@ -287,7 +287,7 @@ def sample_split(t: Tables) -> DataFrame:
     """Three disjoint parts that together hold every row once."""
     parts = t.orders.select("o_orderkey").randomSplit([0.6, 0.3, 0.1], seed=5)
     tagged = [part.withColumn("part", F.lit(i)) for i, part in enumerate(parts)]
-    return tagged[0].union(tagged[1]).union(tagged[2]).groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    return tagged[0].union(tagged[1]).union(tagged[2]).groupBy("part").agg(F.count("*").alias("n"))
 
 
 @query("sample_fixed_size")

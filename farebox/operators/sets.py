@@ -17,7 +17,7 @@ def bags(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def counted(df: DataFrame) -> DataFrame:
-    return df.groupBy("supp", "flag").agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy("supp", "flag").agg(F.count("*").alias("n"))
 
 
 COUNTED = "SELECT supp, flag, count(*) AS n FROM r GROUP BY ALL"
@@ -41,7 +41,7 @@ def set_union_by_name(t: Tables) -> DataFrame:
     a, b = bags(t)
     turned = b.select("flag", "supp", F.lit(1).alias("extra"))
     both = a.unionByName(turned, allowMissingColumns=True)
-    return both.groupBy("supp", "flag").agg(F.count(F.lit(1)).alias("n"), F.count("extra").alias("with_extra"))
+    return both.groupBy("supp", "flag").agg(F.count("*").alias("n"), F.count("extra").alias("with_extra"))
 
 
 @query("set_intersect", f"WITH {BAGS} SELECT * FROM a INTERSECT SELECT * FROM b")
@@ -87,4 +87,4 @@ def set_subtract_bag(t: Tables) -> DataFrame:
     cust = F.col("o_custkey").alias("cust")
     left = t.orders.filter("o_totalprice > 250000").select(cust)
     right = t.orders.filter("o_orderstatus = 'F'").select(cust)
-    return left.join(right, "cust", "left_anti").groupBy("cust").agg(F.count(F.lit(1)).alias("n"))
+    return left.join(right, "cust", "left_anti").groupBy("cust").agg(F.count("*").alias("n"))

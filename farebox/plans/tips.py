@@ -103,7 +103,7 @@ def share_column(fleet_label: str, year: int) -> str:
 def tip_counts(trips: DataFrame, interval: int, *keys: str) -> DataFrame:
     """Trips per bucket. The rest of the report works on these few rows."""
     return trips.groupBy(*keys, bucket_label(tip_ratio(), interval).alias("TipProcent")).agg(
-        F.count(F.lit(1)).alias("trips")
+        F.count("*").alias("trips")
     )
 
 
@@ -215,7 +215,7 @@ def taxi_read(t: Tables) -> DataFrame:
     """Scan trips; only the columns asked for are read."""
     trips = read_trips(t.spark, t.file("lineitem"))
     return trips.groupBy("l_linestatus").agg(
-        F.count(F.lit(1)).alias("trips"),
+        F.count("*").alias("trips"),
         F.round(F.sum("l_quantity"), 2).alias("tips"),
         F.date_format(F.max("l_shipdate"), "yyyy-MM-dd HH:mm:ss").alias("last_pickup"),
     )
@@ -240,7 +240,7 @@ def taxi_core_columns(t: Tables) -> DataFrame:
 def taxi_union(t: Tables) -> DataFrame:
     both = union_fleets(core_columns(fleet_trips(t, f), f) for f in FLEETS)
     return both.groupBy("taxi_type", "passenger_count").agg(
-        F.count(F.lit(1)).alias("trips"), F.round(F.sum("tip_amount"), 2).alias("tips")
+        F.count("*").alias("trips"), F.round(F.sum("tip_amount"), 2).alias("tips")
     )
 
 
@@ -253,7 +253,7 @@ def taxi_since_year(t: Tables) -> DataFrame:
     return (
         since_year(core_trips(t), YEAR)
         .groupBy("taxi_type", F.year("pickup_datetime").cast("bigint").alias("pickup_year"))
-        .agg(F.count(F.lit(1)).alias("trips"))
+        .agg(F.count("*").alias("trips"))
     )
 
 
@@ -291,7 +291,7 @@ def taxi_tip_ratio(t: Tables) -> DataFrame:
 def taxi_bucket_label(t: Tables) -> DataFrame:
     rated = since_year(core_trips(t), YEAR).withColumn("r", tip_ratio())
     return rated.groupBy("taxi_type", bucket_label(F.col("r"), INTERVAL).alias("TipProcent")).agg(
-        F.count(F.lit(1)).alias("trips"),
+        F.count("*").alias("trips"),
         F.round(F.min("r"), 6).alias("lowest"),
         F.round(F.max("r"), 6).alias("highest"),
     )
@@ -360,7 +360,7 @@ def taxi_profile(t: Tables) -> DataFrame:
 
 
 def profile(df: DataFrame) -> DataFrame:
-    total = F.count(F.lit(1)).alias("_total")
+    total = F.count("*").alias("_total")
     counts = df.agg(total, *(F.count(name).alias(name) for name in df.columns))
     rows = F.array(
         *(
@@ -387,7 +387,7 @@ def taxi_rows_removed(t: Tables) -> DataFrame:
     return (
         core_trips(t)
         .groupBy("taxi_type")
-        .agg(F.count(F.lit(1)).alias("rows_before"), kept.alias("rows_kept"))
+        .agg(F.count("*").alias("rows_before"), kept.alias("rows_kept"))
         .withColumn("rows_removed", F.col("rows_before") - F.col("rows_kept"))
     )
 
@@ -415,7 +415,7 @@ def taxi_clean_write(t: Tables) -> DataFrame:
     clean.write.partitionBy("pickup_year").parquet(path)
     saved = t.spark.read.parquet(path).filter(F.col("pickup_year") > YEAR)
     return saved.groupBy("taxi_type", F.col("pickup_year").cast("bigint").alias("pickup_year")).agg(
-        F.count(F.lit(1)).alias("trips"), F.round(F.sum("tip_amount"), 2).alias("tips")
+        F.count("*").alias("trips"), F.round(F.sum("tip_amount"), 2).alias("tips")
     )
 
 

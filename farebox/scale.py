@@ -104,3 +104,24 @@ def chunked(df: DataFrame, keys: Sequence[str], unique: Sequence[str], rows: int
         .withColumn("_chunk", F.pmod(F.xxhash64(*unique), F.ceil(F.col("_n") / rows)))
         .drop("_n")
     )
+
+
+def running_sum(
+    df: DataFrame, keys: Sequence[str], slot: Column, order: Sequence[Column | str], value: str, name: str
+) -> DataFrame:
+    """Running sum per key in the same two levels as ``number_rows``."""
+    inside = [*keys, "_slot"]
+    cut = df.withColumn("_slot", slot)
+    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        cut.groupBy(*inside)
+        .agg(F.sum(value).alias("_sum"))
+        .select(*inside, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
+    )
+    frame = Window.partitionBy(*inside).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = cut.withColumn("_local", F.sum(value).over(frame))
+    return (
+        local.join(offsets, inside)
+        .withColumn(name, F.col("_offset") + F.col("_local"))
+        .drop("_slot", "_offset", "_local")
+    )
