@@ -4,8 +4,6 @@ Row functions show the surface; anything on a hot path is a pandas function on A
 batches. Functions over groups get bounded pieces of a group, never a whole hot key.
 """
 
-from __future__ import annotations
-
 from collections.abc import Iterator
 
 import pandas as pd
