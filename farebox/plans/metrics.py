@@ -106,16 +106,16 @@ def roc_area(scored: DataFrame) -> DataFrame:
     slot = F.floor("down")
     above = running_sum(points, ["all"], slot, ["down"], "p", "tp")
     above = running_sum(above, ["all"], slot, ["down"], "n", "fp")
-    totals = points.agg(F.sum("p").alias("P"), F.sum("n").alias("N"))
+    totals = points.agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
     row = above.crossJoin(F.broadcast(totals))
     area = F.col("n") * (F.col("tp") - F.col("p") / 2)
     # The step before a score ends at (tp - p, fp - n); a curve starts at recall 0 with the first precision.
     before = F.coalesce(
         F.try_divide(F.col("tp") - F.col("p"), F.col("tp") - F.col("p") + F.col("fp") - F.col("n")), F.col("tp") / (F.col("tp") + F.col("fp"))
     )
-    slice_pr = F.col("p") / F.col("P") * (F.col("tp") / (F.col("tp") + F.col("fp")) + before) / 2
+    slice_pr = F.col("p") / F.col("pos") * (F.col("tp") / (F.col("tp") + F.col("fp")) + before) / 2
     return row.agg(
-        (F.sum(area) / F.max(F.col("P") * F.col("N"))).alias("roc"), F.sum(slice_pr).alias("pr"), F.count("*").alias("thresholds")
+        (F.sum(area) / F.max(F.col("pos") * F.col("neg"))).alias("roc"), F.sum(slice_pr).alias("pr"), F.count("*").alias("thresholds")
     )
 
 
