@@ -63,14 +63,14 @@ def array_search(t: Tables) -> DataFrame:
 
 @query(
     "array_sets",
-    f"""WITH w AS (SELECT doc_id, {WORDS}[1:20] AS a, {WORDS}[11:30] AS b FROM documents)
+    f"""WITH w AS (SELECT doc_id, {WORDS} AS a, string_split(lower(text), ' ') AS b FROM documents)
        SELECT doc_id, array_to_string(list_sort(list_distinct(a)), ',') AS uniq, array_to_string(list_sort(list_distinct(list_intersect(a, b))), ',') AS common,
          array_to_string(list_sort(list_distinct(list_concat(a, b))), ',') AS either,
          array_to_string(list_sort(list_distinct(list_filter(a, lambda x: NOT list_contains(b, x)))), ',') AS only_a,
          array_to_string(list_filter(a, lambda x: x <> 'the'), ',') AS without_the FROM w""",
 )
 def array_sets(t: Tables) -> DataFrame:
-    a, b = F.slice(words(), 1, 20), F.slice(words(), 11, 20)
+    a, b = words(), F.split(F.lower("text"), " ")
 
     def shown(array: Column) -> Column:
         return F.array_join(F.array_sort(array), ",")

@@ -304,11 +304,10 @@ def agg_first_last(t: Tables) -> DataFrame:
 def agg_histogram(t: Tables) -> DataFrame:
     """Ten buckets of equal width; the last one is closed on the right."""
     price = F.col("l_extendedprice")
-    edges = t.lineitem.agg(F.min(price).alias("lo"), F.max(price).alias("hi"))
+    low, high = t.lineitem.agg(F.min(price)).scalar(), t.lineitem.agg(F.max(price)).scalar()
     bucket = F.least(F.width_bucket(price, F.col("lo"), F.col("hi"), F.lit(10)), F.lit(10)) - 1
     return (
-        t.lineitem.select(price)
-        .crossJoin(F.broadcast(edges))
+        t.lineitem.select(price, low.alias("lo"), high.alias("hi"))
         .groupBy(bucket.cast("bigint").alias("bucket"))
         .agg(F.count("*").alias("n"))
     )

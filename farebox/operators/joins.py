@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.registry import query
-from farebox.scale import broadcast_if_small
+from farebox.scale import broadcast_if_small, running_sum
 from farebox.tables import Tables
 
 
@@ -91,31 +91,58 @@ def join_anti(t: Tables) -> DataFrame:
 
 @query(
     "join_theta_range",
+    """WITH e AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 8 AS w FROM orders),
+            b AS (SELECT i AS band, lo + i * w AS low, lo + (i + 1) * w AS high FROM e, range(8) r(i))
+       SELECT band, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN b ON o_totalprice >= low AND o_totalprice < high GROUP BY 1""",
+)
+def join_theta_range(t: Tables) -> DataFrame:
+    """Orders by price band. Bands do not overlap, so a row meets one band at most; they are
+    few and go to every task."""
+    price = F.col("o_totalprice")
+    width = (F.max(price) - F.min(price)) / 8
+    bands = t.orders.agg(F.min(price).alias("lo"), width.alias("w")).select("lo", "w", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
+    bands = bands.select(
+        F.col("i").cast("bigint").alias("band"),
+        (F.col("lo") + F.col("i") * F.col("w")).alias("low"),
+        (F.col("lo") + (F.col("i") + 1) * F.col("w")).alias("high"),
+    )
+    inside = (price >= F.col("low")) & (price < F.col("high"))
+    return (
+        t.orders.join(broadcast_if_small(bands), inside)
+        .groupBy("band")
+        .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    )
+
+
+@query(
+    "join_range_totals",
     """WITH spells AS (SELECT event_id AS spell, user_id, ts AS start_ts, ts + INTERVAL 6 HOUR AS end_ts
                        FROM events WHERE event_type = 'signup')
        SELECT spell, count(*) AS events_inside, round(sum(value), 2) AS value_inside
        FROM spells s JOIN events e ON s.user_id = e.user_id AND e.ts >= s.start_ts AND e.ts < s.end_ts GROUP BY 1""",
 )
-def join_theta_range(t: Tables) -> DataFrame:
-    """Events within six hours of a signup of the same user.
+def join_range_totals(t: Tables) -> DataFrame:
+    """Events within six hours of a signup of the same user, with no pair ever made.
 
-    The range condition is turned into an equality on six-hour steps (a spell touches
-    two), so a busy user is spread over many small (user, step) groups.
+    The total inside a spell is the running total at its end less that at its start, so
+    the work is linear in events and spells even where one user has most of both.
     """
-    step = 6 * 3600
-    hours = F.expr("INTERVAL 6 HOURS")
-    spells = (
-        t.events.filter("event_type = 'signup'")
-        .select(F.col("event_id").alias("spell"), "user_id", F.col("ts").alias("start_ts"), (F.col("ts") + hours).alias("end_ts"))
-        .withColumn("step", F.floor(F.unix_timestamp("start_ts") / step))
-        .withColumn("step", F.explode(F.array("step", F.col("step") + 1)))
-    )
-    events = t.events.select("user_id", "ts", "value").withColumn("step", F.floor(F.unix_timestamp("ts") / step))
-    inside = spells.join(events, ["user_id", "step"]).filter(
-        (F.col("ts") >= F.col("start_ts")) & (F.col("ts") < F.col("end_ts"))
-    )
-    return inside.groupBy("spell").agg(
-        F.count("*").alias("events_inside"), F.round(F.sum("value"), 2).alias("value_inside")
+    rows = t.events.select("user_id", "ts", F.lit(2).alias("kind"), F.lit(1).alias("one"), "value", F.col("event_id").alias("id"))
+    signups = t.events.filter("event_type = 'signup'")
+
+    def edge(kind: int, at) -> DataFrame:
+        # An edge sorts before the events of its own instant: the start counts them, the end does not.
+        return signups.select("user_id", at.alias("ts"), F.lit(kind).alias("kind"), F.lit(0).alias("one"), F.lit(0.0).alias("value"), F.col("event_id").alias("id"))
+
+    marks = rows.union(edge(0, F.col("ts"))).union(edge(1, F.col("ts") + F.expr("INTERVAL 6 HOURS")))
+    slot, order = F.date_trunc("day", "ts"), ["ts", "kind", "id"]
+    totals = running_sum(marks, ["user_id"], slot, order, ["one", "value"], ["n", "total"])
+    sign = F.when(F.col("kind") == 1, 1).otherwise(-1)
+    return (
+        totals.filter("kind < 2")
+        .groupBy(F.col("id").alias("spell"))
+        .agg(F.sum(sign * F.col("n")).alias("events_inside"), F.round(F.sum(sign * F.col("total")), 2).alias("value_inside"))
+        .filter("events_inside > 0")
     )
 
 
@@ -154,26 +181,17 @@ def join_broadcast(t: Tables) -> DataFrame:
 
 @query(
     "join_self_alias",
-    """SELECT a.l_orderkey AS order_key, a.l_partkey AS part, b.l_partkey AS next_part, count(*) AS n FROM lineitem a
-       JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 AND a.l_partkey < b.l_partkey
-       GROUP BY ALL""",
+    """SELECT a.o_orderkey AS order_key, b.o_orderkey AS next_key, round(b.o_totalprice - a.o_totalprice, 2) AS step
+       FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 AND a.o_custkey < b.o_custkey""",
 )
 def join_self_alias(t: Tables) -> DataFrame:
-    """Part followed by a higher part on the next line of the same order."""
-    a, b = t.lineitem.alias("a"), t.lineitem.alias("b")
-    next_line = (
-        (F.col("a.l_orderkey") == F.col("b.l_orderkey"))
-        & (F.col("b.l_linenumber") == F.col("a.l_linenumber") + 1)
-        & (F.col("a.l_partkey") < F.col("b.l_partkey"))
-    )
-    return (
-        a.join(b, next_line)
-        .groupBy(
-            F.col("a.l_orderkey").alias("order_key"),
-            F.col("a.l_partkey").alias("part"),
-            F.col("b.l_partkey").alias("next_part"),
-        )
-        .agg(F.count("*").alias("n"))
+    """Each order with the one numbered next, where that belongs to a higher customer."""
+    a, b = t.orders.alias("a"), t.orders.alias("b")
+    on = (F.col("b.o_orderkey") == F.col("a.o_orderkey") + 1) & (F.col("a.o_custkey") < F.col("b.o_custkey"))
+    return a.join(b, on).select(
+        F.col("a.o_orderkey").alias("order_key"),
+        F.col("b.o_orderkey").alias("next_key"),
+        F.round(F.col("b.o_totalprice") - F.col("a.o_totalprice"), 2).alias("step"),
     )
 
 

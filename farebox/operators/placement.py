@@ -6,15 +6,15 @@ from pyspark.sql import functions as F
 
 from farebox import workspace
 from farebox.registry import query
+from farebox.scale import parts_of
 from farebox.tables import Tables
 
-PARTS = 8
-
 
 @query("part_hash", "SELECT o_orderkey, 1 AS places, o_totalprice FROM orders")
 def part_hash(t: Tables) -> DataFrame:
     """Hash placement by key: all rows of a key are in one partition."""
-    placed = t.orders.select("o_orderkey", "o_totalprice").repartition(PARTS, "o_orderkey")
+    orders = t.orders.select("o_orderkey", "o_totalprice")
+    placed = orders.repartition(parts_of(orders), "o_orderkey")
     return (
         placed.withColumn("place", F.spark_partition_id())
         .groupBy("o_orderkey")
@@ -25,7 +25,8 @@ def part_hash(t: Tables) -> DataFrame:
 @query("part_range", "SELECT count(*) AS n, TRUE AS apart FROM orders")
 def part_range(t: Tables) -> DataFrame:
     """Range placement: the partitions hold neighbouring, non-overlapping key ranges."""
-    placed = t.orders.select("o_orderkey").repartitionByRange(PARTS, "o_orderkey")
+    orders = t.orders.select("o_orderkey")
+    placed = orders.repartitionByRange(parts_of(orders), "o_orderkey")
     ranges = placed.groupBy(F.spark_partition_id().alias("place")).agg(
         F.count("*").alias("n"), F.min("o_orderkey").alias("low"), F.max("o_orderkey").alias("high")
     )
@@ -37,14 +38,16 @@ def part_range(t: Tables) -> DataFrame:
     return listed.select("n", apart.alias("apart"))
 
 
-@query("part_coalesce", "SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, TRUE AS few FROM orders")
+@query("part_coalesce", "SELECT count(*) AS n, CAST(sum(o_orderkey) AS BIGINT) AS key_sum, TRUE AS fewer FROM orders")
 def part_coalesce(t: Tables) -> DataFrame:
     """Fewer partitions with no shuffle."""
-    merged = t.orders.select("o_orderkey").repartition(PARTS).coalesce(2).withColumn("place", F.spark_partition_id())
+    orders = t.orders.select("o_orderkey")
+    half = max(1, parts_of(orders) // 2)
+    merged = orders.repartition(parts_of(orders)).coalesce(half).withColumn("place", F.spark_partition_id())
     return merged.agg(
         F.count("*").alias("n"),
         F.sum("o_orderkey").alias("key_sum"),
-        (F.count_distinct("place") <= 2).alias("few"),
+        (F.count_distinct("place") <= half).alias("fewer"),
     )
 
 
@@ -55,7 +58,7 @@ def part_coalesce(t: Tables) -> DataFrame:
 def part_sort_within(t: Tables) -> DataFrame:
     """Sorted inside each hash partition, as writers of sorted files want it."""
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
-    return lines.repartition(PARTS, "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey", "l_linenumber")
+    return lines.repartition(parts_of(lines), "l_orderkey", "l_linenumber").sortWithinPartitions("l_orderkey", "l_linenumber")
 
 
 @query(
@@ -80,7 +83,7 @@ def part_cache(t: Tables) -> DataFrame:
 def part_profile(t: Tables) -> DataFrame:
     """Rows and key range per partition, in place of gathering each partition in a list."""
     return (
-        t.lineitem.repartition(PARTS, "l_orderkey", "l_linenumber")
+        t.lineitem.select("l_orderkey", "l_linenumber").repartition("l_orderkey", "l_linenumber")
         .groupBy(F.spark_partition_id().alias("part"))
         .agg(F.count("*").alias("n"), F.min("l_orderkey").alias("low"), F.max("l_orderkey").alias("high"))
     )

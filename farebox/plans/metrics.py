@@ -104,10 +104,9 @@ def roc_area(scored: DataFrame) -> DataFrame:
     points = scored.groupBy("score").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
     points = points.withColumn("all", F.lit(1)).withColumn("down", -F.col("score"))
     slot = F.floor("down")
-    above = running_sum(points, ["all"], slot, ["down"], "p", "tp")
-    above = running_sum(above, ["all"], slot, ["down"], "n", "fp")
+    above = running_sum(points, ["all"], slot, ["down"], ["p", "n"], ["tp", "fp"])
     totals = points.agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
-    row = above.crossJoin(F.broadcast(totals))
+    row = above.withColumn("pos", totals.select("pos").scalar()).withColumn("neg", totals.select("neg").scalar())
     area = F.col("n") * (F.col("tp") - F.col("p") / 2)
     # The step before a score ends at (tp - p, fp - n); a curve starts at recall 0 with the first precision.
     before = F.coalesce(

@@ -195,18 +195,18 @@ def ml_selection(t: Tables) -> DataFrame:
     selector = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(8).fit(signs)
     axes = mf.PCA(k=3, inputCol="v", outputCol="pca").fit(rows)
     projected = axes.transform(selector.transform(signs))
-    mean_square = gramian(rows, "row").filter("i = j").agg(F.sum("value").alias("frobenius"))
-    length = rows.agg(F.count("*").alias("n"))
+    total = gramian(rows, "row").filter("i = j").agg(F.sum("value")).scalar()
     part = vector_to_array("pca")
-    columns = projected.agg(*(F.sqrt(F.sum(part[i] * part[i])).alias(f"s{i}") for i in range(3)))
-    left = projected.crossJoin(F.broadcast(columns))
+    lengths = projected.agg(*(F.sqrt(F.sum(part[i] * part[i])).alias(f"s{i}") for i in range(3))).first()  # three numbers
+    left = projected.select("*", *(F.lit(lengths[i]).alias(f"s{i}") for i in range(3)))
     return left.select(
         "vec_id",
         F.size(vector_to_array("best")).alias("n_best"),
         *((part[i] / F.col(f"s{i}")).alias(f"u{i}") for i in range(3)),
         *(F.col(f"s{i}") for i in range(3)),
         F.lit(float(sum(axes.explainedVariance.toArray()))).alias("explained"),
-    ).crossJoin(F.broadcast(mean_square.crossJoin(length)))
+        total.alias("frobenius"),
+    )
 
 
 @query("ml_lsh")

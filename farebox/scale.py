@@ -13,6 +13,11 @@ BROADCAST_ROWS = 100_000
 ROWS_PER_CHUNK = 10_000
 
 
+def parts_of(df: DataFrame) -> int:
+    """The cluster's own number of shuffle partitions, for the few places that must name one."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast after counting it; a larger side stays a shuffle join.
 
@@ -107,21 +112,15 @@ def chunked(df: DataFrame, keys: Sequence[str], unique: Sequence[str], rows: int
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], slot: Column, order: Sequence[Column | str], value: str, name: str
+    df: DataFrame, keys: Sequence[str], slot: Column, order: Sequence[Column | str], values: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """Running sum per key in the same two levels as ``number_rows``."""
+    """Running sums of ``values`` per key, in the same two levels as ``number_rows``."""
     inside = [*keys, "_slot"]
     cut = df.withColumn("_slot", slot)
     before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*inside)
-        .agg(F.sum(value).alias("_sum"))
-        .select(*inside, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_offset"))
-    )
     frame = Window.partitionBy(*inside).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = cut.withColumn("_local", F.sum(value).over(frame))
-    return (
-        local.join(offsets, inside)
-        .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_slot", "_offset", "_local")
-    )
+    sums = cut.groupBy(*inside).agg(*(F.sum(v).alias(f"_sum_{n}") for v, n in zip(values, names)))
+    offsets = sums.select(*inside, *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_offset_{n}") for n in names))
+    local = cut.select("*", *(F.sum(v).over(frame).alias(f"_local_{n}") for v, n in zip(values, names)))
+    joined = local.join(offsets, inside)
+    return joined.select(*df.columns, *((F.col(f"_offset_{n}") + F.col(f"_local_{n}")).alias(n) for n in names))

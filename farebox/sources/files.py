@@ -94,7 +94,7 @@ def io_generic_roundtrip(t: Tables) -> DataFrame:
 def io_text_roundtrip(t: Tables) -> DataFrame:
     """Text by line, and by file with the file's path at hand (here the files are added up)."""
     path = workspace.scratch(t.spark, "text")
-    t.part.select("p_name").write.text(path, compression="gzip")
+    t.part.select("p_name").write.option("maxRecordsPerFile", 1_000_000).text(path, compression="gzip")
     lines = t.spark.read.text(path, lineSep="\n")
     files = t.spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
     ends = F.length("value") - F.length(F.replace("value", F.lit("\n"), F.lit("")))

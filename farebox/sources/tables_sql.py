@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from farebox import workspace
 from farebox.registry import query
+from farebox.scale import parts_of
 from farebox.tables import Tables
 
 
@@ -43,7 +44,7 @@ def io_table_roundtrip(t: Tables) -> DataFrame:
 )
 def io_bucketed_write(t: Tables) -> DataFrame:
     """Two tables bucketed alike: the join and the group-by on the bucket key move no rows."""
-    buckets = 8
+    buckets = parts_of(t.orders)
     orders = save_table(t.orders.write.bucketBy(buckets, "o_orderkey").sortBy("o_orderkey"), t, "bucketed_orders")
     lines = save_table(t.lineitem.write.bucketBy(buckets, "l_orderkey").sortBy("l_orderkey"), t, "bucketed_lines")
     joined = t.spark.table(orders).join(t.spark.table(lines).hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))

@@ -5,7 +5,7 @@ import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -217,7 +217,7 @@ def stream_foreach_batch(t: Tables) -> DataFrame:
     writer.option("checkpointLocation", rows.checkpoint).trigger(availableNow=True).start().awaitTermination()
     seen = t.spark.read.schema("rows bigint").json(rows.out).agg(F.sum("rows").alias("rows_by_row"))
     totals = run.batches().groupBy("event_type").agg(F.sum("n").alias("n"), F.max("peak").alias("peak"))
-    return totals.crossJoin(F.broadcast(seen))
+    return totals.withColumn("rows_by_row", seen.scalar())
 
 
 @query(
@@ -238,44 +238,38 @@ def stream_static_join(t: Tables) -> DataFrame:
     return Run(t, "static-join").per_batch(counts, "complete", rank).last()
 
 
-SAME_HOUR = """l.user_id = r.user_id AND date_trunc('hour', l.ts) = date_trunc('hour', r.ts) AND r.ts >= l.ts"""
+def day_before_end(t: Tables) -> Column:
+    return t.events.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).scalar()
+
+
 BEFORE = "(SELECT max(ts) - INTERVAL 1 DAY FROM events)"
 
 
 @query(
     "stream_stream_join",
-    f"""WITH l AS (SELECT * FROM events WHERE event_type = 'click' AND ts < {BEFORE}), r AS (SELECT * FROM events WHERE event_type = 'purchase' AND ts < {BEFORE})
-        SELECT 'inner' AS kind, l.event_id AS click, r.event_id AS purchase FROM l JOIN r ON {SAME_HOUR}
-        UNION ALL SELECT 'left_outer', l.event_id, r.event_id FROM l LEFT JOIN r ON {SAME_HOUR}
-        UNION ALL SELECT 'right_outer', l.event_id, r.event_id FROM l RIGHT JOIN r ON {SAME_HOUR}
-        UNION ALL SELECT 'full_outer', l.event_id, r.event_id FROM l FULL JOIN r ON {SAME_HOUR}""",
+    f"""WITH l AS (SELECT * FROM events WHERE event_type IN ('click', 'view') AND ts < {BEFORE}), r AS (SELECT * FROM events WHERE value > 50 AND ts < {BEFORE}),
+        j AS (SELECT l.event_id AS seen, l.user_id, r.event_id AS paid, r.value FROM l FULL JOIN r ON l.event_id = r.event_id)
+        SELECT 'inner' AS kind, * FROM j WHERE seen IS NOT NULL AND paid IS NOT NULL UNION ALL SELECT 'left_outer', * FROM j WHERE seen IS NOT NULL
+        UNION ALL SELECT 'right_outer', * FROM j WHERE paid IS NOT NULL UNION ALL SELECT 'full_outer', * FROM j""",
 )
 def stream_stream_join(t: Tables) -> DataFrame:
-    """Clicks with later purchases of the same user in the same hour, under four join types.
+    """Two streams about the same events, joined on the event under four join types.
 
-    The hour is part of the key, which spreads a busy user and bounds the state. The
-    last day is left out of the answer: its unmatched rows are still being waited for.
+    The time bound lets old state go. The last day is left out of the answer: its
+    unmatched rows are still being waited for.
     """
-    cut = t.events.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("cut"))
-
-    def side(kind: str, ts: str, key: str) -> DataFrame:
-        rows = t.stream("events").filter(F.col("event_type") == kind).withWatermark("ts", "1 hour")
-        return rows.select("user_id", F.col("ts").alias(ts), F.col("event_id").alias(key), F.date_trunc("hour", "ts").alias("hour"))
-
+    seen = t.stream("events").filter("event_type IN ('click', 'view')").withWatermark("ts", "1 hour")
+    seen = seen.select(F.col("event_id").alias("seen"), "user_id", F.col("ts").alias("seen_ts"))
+    paid = t.stream("events").filter("value > 50").withWatermark("ts", "1 hour")
+    paid = paid.select(F.col("event_id").alias("paid"), "value", F.col("ts").alias("paid_ts"))
+    on = F.expr("seen = paid AND paid_ts >= seen_ts AND paid_ts <= seen_ts + INTERVAL 1 HOUR")
     parts = []
     for kind in ("inner", "left_outer", "right_outer", "full_outer"):
-        clicks = side("click", "click_ts", "click").withColumnRenamed("hour", "c_hour").withColumnRenamed("user_id", "c_user")
-        buys = side("purchase", "buy_ts", "purchase")
-        on = F.expr(
-            "c_user = user_id AND c_hour = hour AND buy_ts >= click_ts AND buy_ts <= click_ts + INTERVAL 1 HOUR"
-        )
-        pairs = clicks.join(buys, on, kind).select(F.lit(kind).alias("kind"), "click", "purchase", "click_ts", "buy_ts")
-        parts.append(Run(t, kind).append(pairs).rows())
-    every = parts[0].union(parts[1]).union(parts[2]).union(parts[3])
-    recent = every.crossJoin(F.broadcast(cut)).filter(
-        (F.coalesce("click_ts", "buy_ts") < F.col("cut")) & (F.coalesce("buy_ts", "click_ts") < F.col("cut"))
-    )
-    return recent.select("kind", "click", "purchase")
+        pairs = seen.join(paid, on, kind)
+        parts.append(Run(t, kind).append(pairs).rows().withColumn("kind", F.lit(kind)))
+    every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    done = F.coalesce("seen_ts", "paid_ts") < day_before_end(t)
+    return every.filter(done).select("kind", "seen", "user_id", "paid", "value")
 
 
 def count_rows(key, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -388,13 +382,10 @@ def stream_session_state(t: Tables) -> DataFrame:
             GroupStateTimeout.EventTimeTimeout,
         )
         run.append(sessions)
-    cut = t.events.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("cut"))
     return (
         run.rows()
         .select("user_id", F.timestamp_micros("first").alias("started"), F.timestamp_micros("last").alias("last_event"), "events")
-        .crossJoin(F.broadcast(cut))
-        .filter("last_event < cut")
-        .drop("cut")
+        .filter(F.col("last_event") < day_before_end(t))
     )
 
 
