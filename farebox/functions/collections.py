@@ -73,7 +73,7 @@ def array_sets(t: Tables) -> DataFrame:
     a, b = words(), F.split(F.lower("text"), " ")
 
     def shown(array: Column) -> Column:
-        return F.array_join(F.array_sort(array), ",")
+        return F.array_join(F.sort_array(array), ",")
 
     return t.documents.select(
         "doc_id",

@@ -80,31 +80,46 @@ def tip_ratio() -> Column:
     return F.try_divide("tip_amount", "fare_amount") * 100
 
 
-def bucket_label(ratio: Column, interval: int) -> Column:
-    """Name of the bucket a ratio falls in.
+def bucket_start(ratio: Column, interval: int) -> Column:
+    """Lower end of the bucket a ratio falls in, as a number; -1 stands for an error.
 
     The ratio counts by its integer part, so (-1, 0) is part of the first bucket. NaN
-    is tested first because it compares above every number.
+    is tested before the top bucket because it compares above every number.
     """
-    low = (F.floor(F.greatest(ratio, F.lit(0.0))) / interval).cast("bigint") * interval
+    low = (F.floor(ratio) / interval).cast("int") * interval
+    return (
+        F.when(ratio.isNull(), -1)
+        .when((ratio >= 0) & (ratio < TOP), low)
+        .when(F.isnan(ratio), 0)
+        .when(ratio >= TOP, TOP)
+        .when(ratio > -1, 0)
+        .otherwise(-1)
+    )
+
+
+def bucket_name(start: Column, interval: int) -> Column:
+    """Text of a bucket in reports."""
+    text = start.cast("string")
     return (
-        F.when(ratio.isNull(), ERROR)
-        .when(F.isnan(ratio), f"0 - {interval}")
-        .when(ratio <= -1, ERROR)
-        .when(ratio >= TOP, f"{TOP}+")
-        .otherwise(F.concat(low.cast("string"), F.lit(" - "), (low + interval).cast("string")))
+        F.when(start < 0, ERROR)
+        .when(start >= TOP, f"{TOP}+")
+        .otherwise(F.concat(text, F.lit(" - "), (start + interval).cast("string")))
     )
 
 
+def bucket_label(ratio: Column, interval: int) -> Column:
+    return bucket_name(bucket_start(ratio, interval), interval)
+
+
 def share_column(fleet_label: str, year: int) -> str:
     return f"Percentage of all {fleet_label} Taxi Rides in {year} year in NYC"
 
 
 def tip_counts(trips: DataFrame, interval: int, *keys: str) -> DataFrame:
-    """Trips per bucket. The rest of the report works on these few rows."""
-    return trips.groupBy(*keys, bucket_label(tip_ratio(), interval).alias("TipProcent")).agg(
-        F.count("*").alias("trips")
-    )
+    """Trips per bucket. Rows are grouped by a number; only the few results get their text."""
+    rated = trips.select(*keys, tip_ratio().alias("ratio"))
+    counts = rated.groupBy(*keys, bucket_start(F.col("ratio"), interval).alias("start")).agg(F.count("*").alias("trips"))
+    return counts.select(*keys, bucket_name(F.col("start"), interval).alias("TipProcent"), "trips")
 
 
 def share_report(trips: DataFrame, interval: int, year: int, fleet_label: str) -> DataFrame:
@@ -291,9 +306,7 @@ def taxi_tip_ratio(t: Tables) -> DataFrame:
 def taxi_bucket_label(t: Tables) -> DataFrame:
     rated = since_year(core_trips(t), YEAR).withColumn("r", tip_ratio())
     return rated.groupBy("taxi_type", bucket_label(F.col("r"), INTERVAL).alias("TipProcent")).agg(
-        F.count("*").alias("trips"),
-        F.round(F.min("r"), 6).alias("lowest"),
-        F.round(F.max("r"), 6).alias("highest"),
+        F.count("*").alias("trips"), F.round(F.min("r"), 6).alias("lowest"), F.round(F.max("r"), 6).alias("highest")
     )
 
 
