@@ -321,16 +321,22 @@ def agg_histogram(t: Tables) -> DataFrame:
        FROM lineitem WHERE l_quantity > 25 GROUP BY 1""",
 )
 def agg_observe(t: Tables) -> DataFrame:
-    """Counters taken while a job writes its output, without a second pass over the data."""
+    """Counters taken while a job writes its output, without a second pass over the data.
+
+    The counting runs in a session of its own: one that has held an observation makes
+    models with a training summary fail to serialize in Spark 4.1.
+    """
     seen = Observation("line_counters")
-    lines = t.lineitem.filter("l_quantity > 25").observe(
+    lines = Tables(t.spark.newSession(), t.path).lineitem.filter("l_quantity > 25").observe(
         seen,
         F.count("*").alias("seen"),
         F.count_if(F.col("l_discount") == 0).alias("no_discount"),
         F.max("l_extendedprice").alias("dearest"),
     )
-    stored = workspace.stored(lines.groupBy("l_returnflag").agg(F.count("*").alias("n")), "observed")
+    path = workspace.scratch(t.spark, "observed")
+    lines.groupBy("l_returnflag").agg(F.count("*").alias("n")).write.parquet(path)
     counters = seen.get
+    stored = t.spark.read.schema("l_returnflag string, n bigint").parquet(path)
     return stored.select("*", *(F.lit(counters[name]).alias(name) for name in ("seen", "no_discount", "dearest")))
 
 

@@ -347,7 +347,7 @@ def taxi_report_csv(t: Tables) -> DataFrame:
 @query("taxi_sample")
 def taxi_sample(t: Tables) -> DataFrame:
     """Seeded Bernoulli sample; the fraction is a probability between 0 and 1."""
-    return core_trips(t, "order_id", "line_id").sample(0.1, seed=123)
+    return core_trips(t, "order_id", "line_id").sample(fraction=0.1, seed=123)
 
 
 @query("taxi_uuid_udf")

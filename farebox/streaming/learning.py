@@ -77,13 +77,15 @@ def stream_kmeans_refit(t: Tables) -> DataFrame:
 def stream_logistic_refit(t: Tables) -> DataFrame:
     """A logistic model fitted anew on all rows seen so far, with its quality per batch."""
     feed, run = Feed(t, SCHEMAS["lineitem"]), Run(t, "stream-logistic")
-    inputs = VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features")
+    inputs = VectorAssembler(inputCols=["price", "l_discount"], outputCol="features")
     chain = Pipeline(stages=[inputs, LogisticRegression(maxIter=5)])
     auc = BinaryClassificationEvaluator()
     seen = Run(t, "seen").out
 
     def refit(batch: DataFrame, epoch: int) -> DataFrame:
-        rows = batch.select("l_quantity", "l_discount", (F.col("l_extendedprice") > 50000).cast("double").alias("label"))
+        price = F.col("l_extendedprice") / 50000
+        dear = price * (1 - F.col("l_discount")) > 1
+        rows = batch.select(price.alias("price"), "l_discount", dear.cast("double").alias("label"))
         rows.write.mode("overwrite").parquet(f"{seen}/batch={epoch}")
         so_far = t.spark.read.parquet(seen)
         value = auc.evaluate(chain.fit(so_far).transform(so_far))
