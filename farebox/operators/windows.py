@@ -13,12 +13,12 @@ from farebox.scale import in_blocks, number_rows, running_sum
 from farebox.tables import Tables
 
 
-def month() -> Column:
-    return F.date_trunc("month", "o_orderdate")
+def week() -> Column:
+    return F.date_trunc("week", "o_orderdate")
 
 
-def day() -> Column:
-    return F.date_trunc("day", "ts")
+def hour() -> Column:
+    return F.date_trunc("hour", "ts")
 
 
 @query(
@@ -56,7 +56,7 @@ def win_ranking(t: Tables) -> DataFrame:
 def win_row_number(t: Tables) -> DataFrame:
     """Position of each order in its customer's history."""
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return number_rows(orders, ["o_custkey"], month(), ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+    return number_rows(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query(
@@ -79,7 +79,7 @@ def win_top_per_key(t: Tables) -> DataFrame:
 )
 def win_running_sum(t: Tables) -> DataFrame:
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    summed = running_sum(orders, ["o_custkey"], month(), ["o_orderdate", "o_orderkey"], ["o_totalprice"], ["spent_so_far"])
+    summed = running_sum(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"], ["o_totalprice"], ["spent_so_far"])
     return summed.select("o_custkey", "o_orderkey", F.round("spent_so_far", 2).alias("spent_so_far"))
 
 
@@ -116,7 +116,7 @@ def win_share_of_total(t: Tables) -> DataFrame:
 def win_lag_lead(t: Tables) -> DataFrame:
     """Neighbours of each event in its user's history."""
     events = t.events.select("event_id", "user_id", "event_type", F.date_trunc("second", "ts").alias("ts"))
-    numbered = number_rows(events, ["user_id"], day(), ["ts", "event_id"])
+    numbered = number_rows(events, ["user_id"], hour(), ["ts", "event_id"])
     w = Window.partitionBy("user_id", "_block").orderBy("rn")
     return (
         in_blocks(numbered, "rn", 50_000, before=1, after=2)
@@ -141,7 +141,7 @@ def win_lag_lead(t: Tables) -> DataFrame:
 def win_rows_frame(t: Tables) -> DataFrame:
     """Moving mean over three orders and maximum around each order."""
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    numbered = number_rows(orders, ["o_custkey"], month(), ["o_orderdate", "o_orderkey"])
+    numbered = number_rows(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"])
     w = Window.partitionBy("o_custkey", "_block").orderBy("rn")
     return (
         in_blocks(numbered, "rn", 50_000, before=2, after=1)
@@ -158,24 +158,24 @@ def win_rows_frame(t: Tables) -> DataFrame:
 
 @query(
     "win_range_frame",
-    """SELECT event_id, count(*) OVER w AS events_24h, round(sum(value) OVER w, 4) AS value_24h FROM events
-       WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 24 HOUR PRECEDING AND CURRENT ROW)""",
+    """SELECT event_id, count(*) OVER w AS events_1h, round(sum(value) OVER w, 4) AS value_1h FROM events
+       WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""",
 )
 def win_range_frame(t: Tables) -> DataFrame:
-    """Events and value of the same user in the 24 hours up to each event.
+    """Events and value of the same user in the hour up to each event.
 
-    Each row also goes to the following day as context, so a window per (user, day) is exact.
+    Each row also goes to the following hour as context, so a window per (user, hour) is exact.
     """
-    length = 86_400_000_000
+    length = 3_600_000_000
     events = t.events.select("event_id", "user_id", "value", F.unix_micros("ts").alias("at"))
-    events = events.withColumn("home", F.floor(F.col("at") / length)).withColumn("day", F.explode(F.array("home", F.col("home") + 1)))
-    w = Window.partitionBy("user_id", "day").orderBy("at").rangeBetween(-length, Window.currentRow)
+    events = events.withColumn("home", F.floor(F.col("at") / length)).withColumn("step", F.explode(F.array("home", F.col("home") + 1)))
+    w = Window.partitionBy("user_id", "step").orderBy("at").rangeBetween(-length, Window.currentRow)
     return (
         events.select(
             "event_id",
-            F.count("*").over(w).alias("events_24h"),
-            F.round(F.sum("value").over(w), 4).alias("value_24h"),
-            (F.col("home") == F.col("day")).alias("own"),
+            F.count("*").over(w).alias("events_1h"),
+            F.round(F.sum("value").over(w), 4).alias("value_1h"),
+            (F.col("home") == F.col("step")).alias("own"),
         )
         .filter("own")
         .drop("own")

@@ -1,10 +1,10 @@
 """Tip analysis of taxi trips: how much of the fare riders add, as shares of all trips."""
 
-from __future__ import annotations
-
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -352,8 +352,18 @@ def taxi_sample(t: Tables) -> DataFrame:
 
 @query("taxi_uuid_udf")
 def taxi_uuid_udf(t: Tables) -> DataFrame:
-    """A random 32-digit hex id per trip."""
-    return core_trips(t, "order_id", "line_id").withColumn("trip_uuid", F.replace(F.uuid(), F.lit("-"), F.lit("")))
+    """A random 32-digit hex id per trip, built in and as a function of our own.
+
+    The latter is marked nondeterministic, so that it is not run a second time for a value.
+    """
+    own = F.pandas_udf(random_hex, "string").asNondeterministic()
+    return core_trips(t, "order_id", "line_id").select(
+        "order_id", "line_id", F.replace(F.uuid(), F.lit("-"), F.lit("")).alias("trip_uuid"), own("order_id").alias("own_uuid")
+    )
+
+
+def random_hex(keys: pd.Series) -> pd.Series:
+    return pd.Series([uuid.uuid4().hex for _ in range(len(keys))])
 
 
 @query(

@@ -43,7 +43,7 @@ def stream_files(t: Tables) -> DataFrame:
 
     def all_feeds() -> DataFrame:
         streams = [f.read(maxFilesPerTrigger=2).select(F.lit(f.fmt).alias("source"), F.lit(1).alias("rows"), "value") for f in feeds]
-        raw = t.spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "region.parquet").load(t.path)
+        raw = t.spark.readStream.format("binaryFile").schema(BINARY_FILE).load(t.pattern("region"))
         streams.append(raw.select(F.lit("binaryFile").alias("source"), F.lit(1).alias("rows"), F.lit(0.0).alias("value")))
         first, *rest = streams
         for other in rest:

@@ -45,11 +45,10 @@ class Tables:
     def file(self, name: str) -> str:
         return f"{self.path}/{name}.parquet"
 
+    def pattern(self, name: str) -> str:
+        """A glob for the table alone: stream sources take a single file only by pattern."""
+        return f"{self.path}/{name}.parque[t]"
+
     def stream(self, name: str, **options) -> DataFrame:
-        """The same table read as an unbounded file stream."""
-        return (
-            self.spark.readStream.schema(SCHEMAS[name])
-            .option("pathGlobFilter", f"{name}*.parquet")
-            .options(**options)
-            .parquet(self.path)
-        )
+        """The same table, a file or a folder of files, read as an unbounded stream."""
+        return self.spark.readStream.schema(SCHEMAS[name]).options(**options).parquet(self.pattern(name))

@@ -47,7 +47,8 @@ def test_stratified_sample_keeps_all_of_a_full_stratum(spark, tables):
 
 def test_random_ids_are_unique_hex(spark):
     ids = QUERIES["taxi_uuid_udf"](spark, SF)
-    assert ids.filter(~F.col("trip_uuid").rlike("^[0-9a-f]{32}$")).isEmpty()
+    for column in ("trip_uuid", "own_uuid"):
+        assert ids.filter(~F.col(column).rlike("^[0-9a-f]{32}$")).isEmpty()
 
 
 def test_unique_ids(spark, tables):
