@@ -145,13 +145,26 @@ def agg_summary(t: Tables) -> DataFrame:
     return numbers(some.describe()).intersect(numbers(some.summary("count", "mean", "stddev", "min", "max")))
 
 
-@query("agg_quantile")
+@query(
+    "agg_quantile",
+    "SELECT l_returnflag, q AS quantile, TRUE AS near FROM lineitem, (VALUES (0.25::DOUBLE), (0.5), (0.9)) v(q) GROUP BY ALL",
+)
 def agg_quantile(t: Tables) -> DataFrame:
-    """Quantiles within one part in ten thousand of the rank, in constant memory per group."""
-    points = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.9))
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.percentile_approx("l_extendedprice", points, 10_000).alias("price_quantiles")
+    """Quantiles in constant memory per group; the share of rows below each is within one in a
+    thousand of the share asked for."""
+    points = [0.25, 0.5, 0.9]
+    found = quantiles(t, points)
+    below = [F.avg((F.col("l_extendedprice") < F.col("q")[i]).cast("double")) for i in range(3)]
+    upto = [F.avg((F.col("l_extendedprice") <= F.col("q")[i]).cast("double")) for i in range(3)]
+    rows = F.array(
+        *(F.struct(F.lit(p).alias("quantile"), ((below[i] < p + 0.001) & (upto[i] > p - 0.001)).alias("near")) for i, p in enumerate(points))
     )
+    return t.lineitem.join(found, "l_returnflag").groupBy("l_returnflag").agg(rows.alias("r")).select("l_returnflag", F.inline("r"))
+
+
+def quantiles(t: Tables, points: list[float]) -> DataFrame:
+    asked = F.array(*(F.lit(p) for p in points))
+    return t.lineitem.groupBy("l_returnflag").agg(F.percentile_approx("l_extendedprice", asked, 10_000).alias("q"))
 
 
 @query(
@@ -179,10 +192,24 @@ def agg_crosstab(t: Tables) -> DataFrame:
     return table.withColumnRenamed("o_orderpriority_o_orderstatus", "priority")
 
 
-@query("agg_freq_items")
+@query(
+    "agg_freq_items",
+    """SELECT 'l_returnflag' AS name, l_returnflag AS item, TRUE AS listed FROM lineitem GROUP BY 2 HAVING count(*) > 0.1 * (SELECT count(*) FROM lineitem)
+       UNION ALL SELECT 'l_linenumber', CAST(l_linenumber AS VARCHAR), TRUE FROM lineitem GROUP BY 2 HAVING count(*) > 0.1 * (SELECT count(*) FROM lineitem)""",
+)
 def agg_freq_items(t: Tables) -> DataFrame:
-    """Values that may make up a tenth of their column or more; false positives are allowed."""
-    return t.lineitem.freqItems(["l_returnflag", "l_linenumber"], support=0.1)
+    """Values that make up more than a tenth of their column. The sketch may list others too, so
+    its few candidates are counted exactly."""
+    names = ["l_returnflag", "l_linenumber"]
+    sketch = t.lineitem.freqItems(names, support=0.1)
+    total = t.lineitem.agg(F.count("*")).scalar()
+    parts = []
+    for name in names:
+        candidates = sketch.select(F.explode(f"{name}_freqItems").alias(name))
+        counts = t.lineitem.groupBy(name).agg(F.count("*").alias("n")).join(candidates, name)
+        kept = counts.filter(F.col("n") > total * 0.1)
+        parts.append(kept.select(F.lit(name).alias("name"), F.col(name).cast("string").alias("item"), F.lit(True).alias("listed")))
+    return parts[0].union(parts[1])
 
 
 @query(
@@ -213,12 +240,24 @@ def agg_distinct(t: Tables) -> DataFrame:
     )
 
 
-@query("agg_approx")
+@query(
+    "agg_approx",
+    "SELECT l_returnflag, count(DISTINCT l_orderkey) AS orders, TRUE AS near_5pct, TRUE AS near_1pct FROM lineitem GROUP BY 1",
+)
 def agg_approx(t: Tables) -> DataFrame:
-    """Distinct counts by sketch, of fixed size whatever the number of values."""
-    return t.lineitem.groupBy("l_returnflag").agg(
-        F.approx_count_distinct("l_orderkey").alias("orders_5pct"),
-        F.approx_count_distinct("l_orderkey", rsd=0.01).alias("orders_1pct"),
+    """Distinct counts by sketch, of fixed size whatever the number of values, beside the exact
+    count; each lies within four of its standard errors."""
+    orders = F.count_distinct("l_orderkey")
+    counts = t.lineitem.groupBy("l_returnflag").agg(
+        orders.alias("orders"),
+        F.approx_count_distinct("l_orderkey").alias("rough"),
+        F.approx_count_distinct("l_orderkey", rsd=0.01).alias("fine"),
+    )
+    return counts.select(
+        "l_returnflag",
+        "orders",
+        (F.abs(F.col("rough") - F.col("orders")) < 0.2 * F.col("orders")).alias("near_5pct"),
+        (F.abs(F.col("fine") - F.col("orders")) < 0.04 * F.col("orders")).alias("near_1pct"),
     )
 
 

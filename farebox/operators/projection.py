@@ -267,27 +267,51 @@ def na_replace(t: Tables) -> DataFrame:
     )
 
 
-@query("sample_uniform")
+@query(
+    "sample_uniform",
+    "SELECT kind, TRUE AS near FROM (VALUES ('without replacement'), ('with replacement')) v(kind) WHERE EXISTS (SELECT 1 FROM lineitem)",
+)
 def sample_uniform(t: Tables) -> DataFrame:
-    """Seeded Bernoulli and Poisson samples of whole tables."""
+    """Seeded samples of a twentieth of the rows, each row at most once or more often; both
+    sizes lie within six standard deviations of their mean."""
     lines = t.lineitem.select("l_orderkey", "l_linenumber")
     once = lines.sample(fraction=0.05, seed=7).withColumn("kind", F.lit("without replacement"))
     again = lines.sample(withReplacement=True, fraction=0.05, seed=7).withColumn("kind", F.lit("with replacement"))
-    return once.union(again).groupBy("kind").agg(F.count("*").alias("n"))
+    wanted = t.lineitem.agg(F.count("*") * 0.05).scalar()
+    sizes = once.union(again).groupBy("kind").agg(F.count("*").alias("n"))
+    return sizes.select("kind", (F.abs(F.col("n") - wanted) < 6 * F.sqrt(wanted)).alias("near"))
 
 
-@query("sample_stratified")
+@query(
+    "sample_stratified",
+    """SELECT event_type, count(*) AS of_all, TRUE AS near FROM events WHERE event_type IN ('click', 'view', 'purchase') GROUP BY 1""",
+)
 def sample_stratified(t: Tables) -> DataFrame:
+    """A tenth of the clicks, a fifth of the views and all purchases; types not named give no rows."""
     fractions = {"click": 0.1, "view": 0.2, "purchase": 1.0}
-    return t.events.sampleBy("event_type", fractions, seed=11).groupBy("event_type").agg(F.count("*").alias("n"))
+    drawn = stratified(t, fractions).groupBy("event_type").agg(F.count("*").alias("n"))
+    share = F.create_map(*(F.lit(part) for pair in fractions.items() for part in pair))
+    wanted = F.col("of_all") * share[F.col("event_type")]
+    near = F.abs(F.col("n") - wanted) <= F.when(F.col("event_type") == "purchase", 0.0).otherwise(6 * F.sqrt(wanted))
+    whole = t.events.groupBy("event_type").agg(F.count("*").alias("of_all"))
+    return drawn.join(whole, "event_type").select("event_type", "of_all", near.alias("near"))
 
 
-@query("sample_split")
+def stratified(t: Tables, fractions: dict[str, float]) -> DataFrame:
+    return t.events.sampleBy("event_type", fractions, seed=11)
+
+
+@query("sample_split", "SELECT count(*) AS orders, 1 AS times, TRUE AS in_order FROM orders")
 def sample_split(t: Tables) -> DataFrame:
-    """Three disjoint parts that together hold every row once."""
+    """Three disjoint parts, the larger weight the larger part, that hold every row once."""
     parts = t.orders.select("o_orderkey").randomSplit([0.6, 0.3, 0.1], seed=5)
     tagged = [part.withColumn("part", F.lit(i)) for i, part in enumerate(parts)]
-    return tagged[0].union(tagged[1]).union(tagged[2]).groupBy("part").agg(F.count("*").alias("n"))
+    every = tagged[0].union(tagged[1]).union(tagged[2])
+    times = every.groupBy("o_orderkey").agg(F.count("*").alias("n"), F.min("part").alias("part"))
+    sizes = [F.count_if(F.col("part") == i) for i in range(3)]
+    return times.agg(
+        F.count("*").alias("orders"), F.max("n").alias("times"), ((sizes[0] > sizes[1]) & (sizes[1] > sizes[2])).alias("in_order")
+    )
 
 
 @query("sample_fixed_size")

@@ -87,10 +87,12 @@ def id_zip(t: Tables) -> DataFrame:
     )
 
 
-@query("id_unique")
+@query("id_unique", "SELECT count(*) AS n, count(*) AS ids, TRUE AS part_in_id FROM lineitem")
 def id_unique(t: Tables) -> DataFrame:
     """Unique ids that need no shuffle; the upper bits hold the partition."""
     ids = t.lineitem.select(F.monotonically_increasing_id().alias("id"), F.spark_partition_id().alias("part"))
-    return ids.groupBy("part").agg(
-        F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
+    return ids.agg(
+        F.count("*").alias("n"),
+        F.count_distinct("id").alias("ids"),
+        F.bool_and(F.shiftright("id", 33) == F.col("part")).alias("part_in_id"),
     )

@@ -142,13 +142,21 @@ def ml_cluster(t: Tables) -> DataFrame:
     return report(t, found)
 
 
-@query("ml_patterns")
-def ml_patterns(t: Tables) -> DataFrame:
-    """Frequent sets of part types per order, rules between them, and frequent daily sequences.
+BASKETS = """types AS (SELECT p_type AS item, CAST(1 << CAST(row_number() OVER (ORDER BY p_type) - 1 AS INT) AS BIGINT) AS bit FROM (SELECT DISTINCT p_type FROM part)),
+  baskets AS (SELECT l_orderkey, bit_or(bit) AS b FROM lineitem JOIN part ON l_partkey = p_partkey JOIN types ON p_type = item GROUP BY 1),
+  masks AS (SELECT CAST(m AS BIGINT) AS m, (SELECT string_agg(item, ',' ORDER BY item) FROM types WHERE m & bit > 0) AS names FROM range(1, (SELECT 1 << count(*) FROM types)) r(m)),
+  sets AS (SELECT m, names, count(*) AS freq FROM masks JOIN (SELECT b, 1 AS one FROM baskets) ON b & m = m GROUP BY ALL
+           HAVING count(*) >= ceil(0.05 * (SELECT count(*) FROM baskets)))"""
 
-    A basket holds each type once, and a user's sequence has one entry per day (the most
-    frequent type of that day), so neither grows with the number of rows.
-    """
+
+@query(
+    "ml_patterns",
+    f"""WITH {BASKETS} SELECT 'set' AS kind, names AS pattern, freq::DOUBLE AS value FROM sets
+        UNION ALL SELECT 'rule', a.names || ' => ' || c.names, round(u.freq / a.freq, 6) FROM sets u JOIN sets a ON u.m & a.m = a.m AND u.m <> a.m AND bit_count(u.m) = bit_count(a.m) + 1
+          JOIN masks c ON c.m = u.m - a.m WHERE u.freq / a.freq >= 0.2""",
+)
+def ml_patterns(t: Tables) -> DataFrame:
+    """Frequent sets of part types per order and rules between them. A basket holds each type once."""
     types = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     baskets = types.groupBy("l_orderkey").agg(F.collect_set("p_type").alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=0.05, minConfidence=0.2).fit(baskets)
@@ -158,13 +166,27 @@ def ml_patterns(t: Tables) -> DataFrame:
     rules = model.associationRules.select(
         F.lit("rule"), F.concat_ws(" => ", F.array_join(F.array_sort("antecedent"), ","), F.array_join("consequent", ",")), F.round("confidence", 6)
     )
+    return sets.union(rules)
+
+
+@query(
+    "ml_sequences",
+    """WITH n AS (SELECT user_id, CAST(ts AS DATE) AS day, event_type, count(*) AS n FROM events GROUP BY ALL),
+         d AS (SELECT user_id, day, max_by(event_type, (n, event_type)) AS kind FROM n GROUP BY ALL),
+         s1 AS (SELECT DISTINCT user_id, kind AS p FROM d), s2 AS (SELECT DISTINCT a.user_id, a.kind || '>' || b.kind AS p FROM d a JOIN d b ON a.user_id = b.user_id AND a.day < b.day),
+         s3 AS (SELECT DISTINCT a.user_id, a.kind || '>' || b.kind || '>' || c.kind AS p FROM d a JOIN d b ON a.user_id = b.user_id AND a.day < b.day
+                JOIN d c ON b.user_id = c.user_id AND b.day < c.day)
+       SELECT p AS pattern, count(*) AS users FROM (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3) GROUP BY 1
+       HAVING count(*) >= ceil(0.6 * (SELECT count(DISTINCT user_id) FROM events))""",
+)
+def ml_sequences(t: Tables) -> DataFrame:
+    """Sequences of daily main event types that most users show. A user has one entry per day."""
     daily = t.events.groupBy("user_id", F.to_date("ts").alias("day"), "event_type").agg(F.count("*").alias("n"))
     daily = daily.groupBy("user_id", "day").agg(F.max_by("event_type", F.struct("n", "event_type")).alias("kind"))
     sequences = daily.groupBy("user_id").agg(F.array_sort(F.collect_list(F.struct("day", "kind"))).alias("days"))
     sequences = sequences.select(F.transform("days", lambda d: F.array(d["kind"])).alias("sequence"))
-    spans = PrefixSpan(minSupport=0.6, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
-    steps = spans.select(F.lit("sequence"), F.array_join(F.flatten("sequence"), ">"), F.col("freq").cast("double"))
-    return sets.union(rules).union(steps)
+    found = PrefixSpan(minSupport=0.6, maxPatternLength=3).findFrequentSequentialPatterns(sequences)
+    return found.select(F.array_join(F.flatten("sequence"), ">").alias("pattern"), F.col("freq").alias("users"))
 
 
 @query("ml_recommend")

@@ -15,7 +15,7 @@ def test_models_beat_their_floor(spark, name):
     assert rows and all(r.good for r in rows), [r for r in rows if not r.good]
 
 
-@pytest.mark.parametrize("name", ["ml_quantile_buckets", "ml_encoding_fitted", "ml_text_vectors", "ml_selection", "ml_patterns", "ml_recommend", "ml_stages"])
+@pytest.mark.parametrize("name", ["ml_quantile_buckets", "ml_encoding_fitted", "ml_text_vectors", "ml_selection", "ml_recommend", "ml_stages"])
 def test_jobs_give_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
