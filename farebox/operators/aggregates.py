@@ -1,6 +1,6 @@
 """Aggregations. All of them combine on the map side unless the text says otherwise."""
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from farebox import workspace
@@ -405,8 +405,6 @@ def grouped_median(df: DataFrame, key: str, value: str) -> DataFrame:
     Values are cut into coarse steps; the step that holds the middle is found from the
     step counts, and only its values are looked at one by one.
     """
-    from pyspark.sql import Window
-
     step = F.floor(F.col(value))
     counts = df.groupBy(key, step.alias("_step"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
     steps = counts.groupBy(key, "_step").agg(F.sum("_n").alias("_n"))

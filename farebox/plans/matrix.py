@@ -93,6 +93,44 @@ def matrix_similarity_sampled(t: Tables, keep: float = 0.5) -> DataFrame:
     return estimate.join(cosines(exact), ["i", "j"]).agg(F.count("*").alias("pairs"), F.max(error).alias("worst"), F.avg(error).alias("mean"))
 
 
+def svd(rows: DataFrame, column: str, k: int, keep: list[str]) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """The k largest singular values of a tall, narrow matrix, its right factors, and one row of
+    left factors (``u``) per input row.
+
+    The Gramian has one row per pair of columns, whatever the number of rows, so it is
+    decomposed on the driver; the left factors are a product with the rows, made by the tasks.
+    """
+    cells = gramian(rows, column).toPandas()
+    square = cells.pivot(index="i", columns="j", values="value").to_numpy()
+    values, vectors = np.linalg.eigh((square + square.T) / 2)
+    best = np.argsort(values)[::-1][:k]
+    lengths, right = np.sqrt(np.maximum(values[best], 0)), vectors[:, best]
+    scaled = np.divide(right, lengths, out=np.zeros_like(right), where=lengths > 1e-12)
+
+    def project(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                x = np.stack(batch[column].to_numpy()).astype("float64")
+                yield batch[keep].assign(u=list(x @ scaled))
+
+    kept = rows.select(*keep, column)
+    layout = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.select(*keep).schema)
+    return kept.mapInPandas(project, f"{layout}, u array<double>"), lengths, right
+
+
+@query(
+    "matrix_svd",
+    "SELECT vec_id, round(list_sum(list_transform(embedding, lambda x: x::DOUBLE * x::DOUBLE)), 6) AS energy, 64 AS factors FROM embeddings",
+)
+def matrix_svd(t: Tables) -> DataFrame:
+    """Left factors of all 64 axes; weighted by the singular values they keep each row's length."""
+    left, lengths, _ = svd(t.embeddings, "embedding", 64, ["vec_id"])
+    weights = F.array(*(F.lit(float(s)) for s in lengths))
+    parts = F.zip_with("u", weights, lambda u, s: u * s * u * s)
+    energy = F.aggregate(parts, F.lit(0.0), lambda total, x: total + x)
+    return left.select("vec_id", F.round(energy, 6).alias("energy"), F.size("u").alias("factors"))
+
+
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     """Product of two entry tables: join on the inner index, add up per cell."""
     inner = b.select(F.col("i").alias("k"), F.col("j"), F.col("value").alias("w"))

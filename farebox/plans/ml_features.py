@@ -181,31 +181,19 @@ def ml_encoding_fitted(t: Tables) -> DataFrame:
 
 @query("ml_selection")
 def ml_selection(t: Tables) -> DataFrame:
-    """Features kept by a chi-squared test, main axes, and singular values with their left factors.
-
-    The singular values come from the main axes of the uncentred rows: row times axis,
-    divided by the length of that column, is the left factor.
-    """
-    from farebox.plans.matrix import gramian
-
+    """Features kept by a chi-squared test, and the position of each vector on the main axes."""
     vectors = t.embeddings.select("vec_id", F.col("label").cast("double").alias("label"), F.col("embedding").cast("array<double>").alias("row"))
-    rows = workspace.stored(vectors.withColumn("v", array_to_vector("row")), "vectors")
-    signs = rows.withColumn("signs", array_to_vector(F.transform("row", lambda x: F.when(x > 0, 1.0).otherwise(0.0))))
+    signs = F.transform("row", lambda x: F.when(x > 0, 1.0).otherwise(0.0))
+    rows = workspace.stored(vectors.select("vec_id", "label", array_to_vector("row").alias("v"), array_to_vector(signs).alias("signs")), "vectors")
     selector = mf.UnivariateFeatureSelector(featuresCol="signs", outputCol="best", labelCol="label", selectionMode="numTopFeatures")
-    selector = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(8).fit(signs)
+    selector = selector.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(8).fit(rows)
     axes = mf.PCA(k=3, inputCol="v", outputCol="pca").fit(rows)
-    projected = axes.transform(selector.transform(signs))
-    total = gramian(rows, "row").filter("i = j").agg(F.sum("value")).scalar()
-    part = vector_to_array("pca")
-    lengths = projected.agg(*(F.sqrt(F.sum(part[i] * part[i])).alias(f"s{i}") for i in range(3))).first()  # three numbers
-    left = projected.select("*", *(F.lit(lengths[i]).alias(f"s{i}") for i in range(3)))
-    return left.select(
+    placed = axes.transform(selector.transform(rows))
+    return placed.select(
         "vec_id",
         F.size(vector_to_array("best")).alias("n_best"),
-        *((part[i] / F.col(f"s{i}")).alias(f"u{i}") for i in range(3)),
-        *(F.col(f"s{i}") for i in range(3)),
+        *(vector_to_array("pca")[i].alias(f"axis{i}") for i in range(3)),
         F.lit(float(sum(axes.explainedVariance.toArray()))).alias("explained"),
-        total.alias("frobenius"),
     )
 
 

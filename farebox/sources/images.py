@@ -29,9 +29,7 @@ def bitmap(values) -> bytes:
 
 def write_bitmaps(folder: str):
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        store, base = workspace.file_store(folder)
         store.create_dir(base, recursive=True)
         for batch in batches:
             for key, values in zip(batch["vec_id"], batch["embedding"]):

@@ -187,9 +187,7 @@ class CountPerTask:
         self.count += 1
 
     def close(self, error) -> None:
-        from pyarrow import fs
-
-        store, base = fs.FileSystem.from_uri(self.folder) if "://" in self.folder else (fs.LocalFileSystem(), self.folder)
+        store, base = workspace.file_store(self.folder)
         store.create_dir(base, recursive=True)
         if error is None:
             with store.open_output_stream(f"{base}/{self.name}.json") as out:

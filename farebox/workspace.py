@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +30,16 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def file_store(folder: str):
+    """The pyarrow file system of ``folder`` and the path inside it, for tasks that write files themselves."""
+    from pyarrow import fs
+
+    parts = urlparse(folder)
+    if parts.scheme in ("", "file"):
+        return fs.LocalFileSystem(), parts.path
+    return fs.FileSystem.from_uri(folder)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back, so that later steps all see the same rows."""
     path = scratch(df.sparkSession, label)

@@ -74,3 +74,16 @@ def test_matrix_products(spark):
     assert {(r.i, r.j): r.value for r in matrix.multiply(a, b).collect()} == {(0, 0): 14.0, (1, 0): 15.0}
     total = matrix.add(matrix.transpose(a), a, -1)
     assert {(r.i, r.j): r.value for r in total.collect()} == {(0, 0): 0.0, (0, 1): -2.0, (1, 0): 2.0, (1, 1): 0.0}
+
+
+def test_singular_values_and_orthonormal_left_factors(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(50, 4))
+    df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(a)], "id bigint, row array<double>").repartition(3)
+    left, lengths, right = matrix.svd(df, "row", 3, ["id"])
+    u = np.array([r.u for r in left.orderBy("id").collect()])
+    assert lengths == pytest.approx(np.linalg.svd(a, compute_uv=False)[:3])
+    assert u.T @ u == pytest.approx(np.eye(3), abs=1e-9)
+    assert a @ right == pytest.approx(u * lengths)
