@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.serializer": "org.apache.spark.serializer.KryoSerializer",
+    # Long plans are built faster when calls do not record where they were made.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
