@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import decontaminate, lines, mixing, rules, simhash
+from farebox.llm import decontaminate, lines, mixing, quality, rules, simhash, tokens, urls
 from farebox.tables import Tables
 
 QUERIES: dict = {}
@@ -26,6 +26,18 @@ def op2(t: Tables):
     return simhash.near_duplicates(t.documents)
 
 
+@query("op3_quality")
+def op3(t: Tables):
+    return quality.classify(t.documents, t.labels)
+
+
+@query("op4_token_counts")
+def op4(t: Tables):
+    import public_tokenizers
+
+    return tokens.count_tokens(t.documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op5_mixing", mixing.ORACLE)
 def op5(t: Tables):
     return mixing.mix(t.documents)
@@ -41,6 +53,11 @@ def op7(t: Tables):
     return lines.judge(t.documents)
 
 
+@query("op8_url_filter")
+def op8(t: Tables):
+    return urls.judge(t.pages)
+
+
 @query("op9_decontamination", decontaminate.ORACLE)
 def op9(t: Tables):
     return decontaminate.judge(t.documents, t.benchmark)
