@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import decontaminate, lines, mixing, quality, rules, simhash, tokens, urls
+from farebox.llm import decontaminate, lines, mixing, quality, rules, simhash, tokens, toxicity, urls
 from farebox.tables import Tables
 
 QUERIES: dict = {}
@@ -21,6 +21,11 @@ def query(name: str, oracle: str | None = None):
     return add
 
 
+@query("op1_toxicity")
+def op1(t: Tables):
+    return toxicity.classify(t.documents, t.labels)
+
+
 @query("op2_simhash")
 def op2(t: Tables):
     return simhash.near_duplicates(t.documents)
