@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import decontaminate, lines, mixing, quality, rules, simhash, tokens, toxicity, urls
+from farebox.llm import decontaminate, lines, mixing, pii, quality, rules, simhash, tokens, toxicity, urls
 from farebox.tables import Tables
 
 QUERIES: dict = {}
@@ -66,3 +66,8 @@ def op8(t: Tables):
 @query("op9_decontamination", decontaminate.ORACLE)
 def op9(t: Tables):
     return decontaminate.judge(t.documents, t.benchmark)
+
+
+@query("op10_pii")
+def op10(t: Tables):
+    return pii.judge(t.documents)
