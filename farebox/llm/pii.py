@@ -45,7 +45,7 @@ SLASH_DATE = r"[0-9]{2}/[0-9]{2}/[0-9]{4}"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
-CARD = r"[0-9](?:[ -]?[0-9]){12,18}"
+CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
 INTL = r"\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 _ENDS = r"(?![0-9A-Za-z_])"
