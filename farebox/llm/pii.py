@@ -6,7 +6,7 @@ Numbers and dates that pass their own check are permuted within their format, un
 kind       checked                                        permuted
 =========  =============================================  ==================================================
 card       13 to 19 digits, Luhn                          all digits but the first; the check digit is made anew
-phone      North American numbers (area, exchange 2-9)    area, exchange and line, still of that form
+phone      the form of North American numbers             area, exchange and line; first digits from 2 stay so
 intl       ``+``, 8 to 15 digits                          all digits but the first two
 ssn        area, group and serial that are given out      within the numbers that are given out
 ipv4       four octets to 255, first 1 to 223             within these addresses
@@ -46,7 +46,7 @@ SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 IPV4 = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 PHONE = r"(?:\+1[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
 CARD = r"[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}"
-INTL = r"\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}"
+INTL = r"\+[0-9]{1,3}(?:(?:[ .-][0-9]{1,2}){5}|(?:[ .-]?[0-9]{2,4}){2,3})"
 EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}"
 _ENDS = r"(?![0-9A-Za-z_])"
 _NUMBERS = "|".join((ISO_DATE, DOT_DATE, SLASH_DATE, SSN + r"(?!-)", IPV4 + r"(?!\.[0-9])", PHONE, CARD, INTL))
@@ -174,7 +174,9 @@ def card(key: str, value: Column) -> Column:
 def phone(key: str, value: Column) -> Column:
     def renew(digits: Column) -> Column:
         own = F.right(digits, F.lit(10))
-        moved = permute_symbols(key, "phone", own, F.lit("nddndddddd"))
+        # A first digit below 2 is not given out; it stays, and the rest is permuted all the same.
+        first = lambda at: F.when(F.substring(own, at, 1) < "2", ".").otherwise("n")
+        moved = permute_symbols(key, "phone", own, F.concat(first(1), F.lit("dd"), first(4), F.lit("dddddd")))
         return F.concat(F.left(digits, F.length(digits) - 10), moved)
 
     return refill(value, bound(digits_of(value), renew))
@@ -260,7 +262,7 @@ def kind_of(value: Column) -> Column:
         .when(date, F.when(day_of(value).between(F.lit("1900-01-01").cast("date"), F.lit("2099-12-31").cast("date")), "date"))
         .when(value.rlike(f"^{SSN}$"), F.when(given_out, "ssn"))
         .when(value.rlike(f"^{IPV4}$"), F.when(in_range, "ipv4"))
-        .when(value.rlike(f"^(?:{PHONE})$"), F.when(F.right(digits, F.lit(10)).rlike("^[2-9]..[2-9]"), "phone"))
+        .when(value.rlike(f"^(?:{PHONE})$"), "phone")
         .when(~value.startswith("+") & F.length(digits).between(13, 19), F.when(luhn(digits), "card"))
         .when(value.startswith("+"), F.when(F.length(digits).between(8, 15), "intl"))
     )
