@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from farebox import workspace
 from farebox.registry import query
+from farebox.scale import join_same, running_sum
 from farebox.tables import Tables
 
 @query(
@@ -391,35 +392,29 @@ def agg_skewed(t: Tables) -> DataFrame:
     one row per distinct value; the distinct count and the exact median are then read
     off those counts, not off the rows.
     """
-    users = t.events.groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
+    return skewed_summary(t.events)
+
+
+def skewed_summary(events: DataFrame) -> DataFrame:
+    """Rows, total, users and median per type; a null type is a group, null users and values do not count."""
+    users = events.groupBy("event_type", "user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"))
     totals = users.groupBy("event_type").agg(
-        F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"), F.count("*").alias("users")
+        F.sum("n").alias("n"), F.round(F.sum("total"), 2).alias("total"), F.count("user_id").alias("users")
     )
-    middle = grouped_median(t.events, "event_type", "value")
-    return totals.join(middle, "event_type")
+    middle = grouped_median(events, "event_type", "value")
+    return join_same(totals, middle, ["event_type"], "left")
 
 
 def grouped_median(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Exact median per key from value counts, with no task seeing all rows of a key.
-
-    Values are cut into coarse steps; the step that holds the middle is found from the
-    step counts, and only its values are looked at one by one.
-    """
-    step = F.floor(F.col(value))
-    counts = df.groupBy(key, step.alias("_step"), F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    steps = counts.groupBy(key, "_step").agg(F.sum("_n").alias("_n"))
-    order = Window.partitionBy(key).orderBy("_step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    steps = steps.select(
-        key, "_step", (F.sum("_n").over(order) - F.col("_n")).alias("_below"), F.sum("_n").over(Window.partitionBy(key)).alias("_all"), "_n"
-    )
+    """Exact median per key from value counts, with no task seeing all rows of a key. Null values do not count."""
+    counts = df.filter(F.col(value).isNotNull()).groupBy(key, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    placed = running_sum(counts, [key], ["_v"], ["_n"], ["_upto"])
+    sizes = counts.groupBy(key).agg(F.sum("_n").alias("_all"))
+    joined = join_same(placed, sizes, [key])
     low, high = F.floor((F.col("_all") + 1) / 2), F.floor(F.col("_all") / 2) + 1
-    near = steps.filter((F.col("_below") < high) & (F.col("_below") + F.col("_n") >= low)).drop("_n")
-    inside = Window.partitionBy(key, "_step").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = counts.join(near, [key, "_step"]).withColumn("_upto", F.col("_below") + F.sum("_n").over(inside))
-    holds_low = (F.col("_upto") >= low) & (F.col("_upto") - F.col("_n") < low)
-    holds_high = (F.col("_upto") >= high) & (F.col("_upto") - F.col("_n") < high)
-    both = F.max(F.when(holds_low, F.col("_v"))) + F.max(F.when(holds_high, F.col("_v")))
-    return placed.groupBy(key).agg(F.round(both / 2, 4).alias("middle"))
+    holds = lambda at: (F.col("_upto") >= at) & (F.col("_upto") - F.col("_n") < at)
+    both = F.max(F.when(holds(low), F.col("_v"))) + F.max(F.when(holds(high), F.col("_v")))
+    return joined.groupBy(key).agg(F.round(both / 2, 4).alias("middle"))
 
 
 @query(
@@ -443,14 +438,17 @@ def word_counts(df: DataFrame, column: str) -> DataFrame:
 
 @query(
     "ex_sort",
-    r"""SELECT number, count(*) AS n FROM (SELECT TRY_CAST(unnest(string_split_regex(text, '[^0-9]+')) AS BIGINT) AS number
-        FROM documents) WHERE number IS NOT NULL GROUP BY 1 ORDER BY 1""",
+    r"""SELECT number, count(*) AS n FROM (SELECT ltrim(unnest(regexp_extract_all(text, '[0-9]+')), '0') AS number
+        FROM documents) GROUP BY 1 ORDER BY length(number), number""",
 )
 def ex_sort(t: Tables) -> DataFrame:
-    """All whole numbers in the texts, counted and sorted by value."""
-    tokens = t.documents.select(F.explode(F.split("text", "[^0-9]+")).alias("token"))
-    number = F.col("token").try_cast("bigint")
-    return tokens.select(number.alias("number")).filter("number IS NOT NULL").groupBy("number").agg(F.count("*").alias("n")).orderBy("number")
+    """All whole numbers in the texts, without leading zeros, counted and sorted by value.
+
+    Numbers may have any number of digits: of two, the longer is larger, and of equal length the later in text order.
+    """
+    found = t.documents.select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0))).alias("digits"))
+    counted = found.groupBy(F.regexp_replace("digits", "^0+", "").alias("number")).agg(F.count("*").alias("n"))
+    return counted.orderBy(F.length("number"), "number")
 
 
 LOG_PATTERN = r'^(\S+) \S+ (\S+) \[([^\]]+)\] "(?:GET|POST) (\S+) [^"]*" (\d+) (\d+)$'  # fixed value: log line format
@@ -475,11 +473,14 @@ def agg_log_stats(t: Tables) -> DataFrame:
 
 
 def log_stats(lines: DataFrame) -> DataFrame:
+    """Lines of another form are counted under null keys, with no bytes."""
+    fits = F.col("line").rlike(LOG_PATTERN)
+
     def part(group: int):
-        return F.regexp_extract("line", LOG_PATTERN, group)
+        return F.when(fits, F.regexp_extract("line", LOG_PATTERN, group))
 
     return (
-        lines.select(part(1).alias("ip"), part(2).alias("usr"), part(4).alias("req"), part(6).cast("bigint").alias("size"))
+        lines.select(part(1).alias("ip"), part(2).alias("usr"), part(4).alias("req"), part(6).try_cast("bigint").alias("size"))
         .groupBy("ip", "usr", "req")
         .agg(F.count("*").alias("hits"), F.sum("size").alias("bytes"))
     )

@@ -1,11 +1,11 @@
 """Joins. Strategies are left to Spark: it broadcasts sides below its size limit and
 splits skewed keys of sort-merge joins at run time."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.registry import query
-from farebox.scale import broadcast_if_small, running_sum
+from farebox.scale import running_sum
 from farebox.tables import Tables
 
 
@@ -55,8 +55,8 @@ def join_right(t: Tables) -> DataFrame:
 @query(
     "join_full",
     """SELECT key, old_total, new_total FROM
-       (SELECT o_custkey AS key, round(sum(o_totalprice), 2) AS old_total FROM orders WHERE o_orderdate < TIMESTAMP '1995-06-01' GROUP BY 1)
-       FULL JOIN (SELECT o_custkey AS key, round(sum(o_totalprice), 2) AS new_total FROM orders WHERE o_orderdate >= TIMESTAMP '2001-03-01' GROUP BY 1)
+       (SELECT o_custkey AS key, round(sum(o_totalprice), 2) AS old_total FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01' GROUP BY 1)
+       FULL JOIN (SELECT o_custkey AS key, round(sum(o_totalprice), 2) AS new_total FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01' GROUP BY 1)
        USING (key)""",
 )
 def join_full(t: Tables) -> DataFrame:
@@ -65,8 +65,8 @@ def join_full(t: Tables) -> DataFrame:
             F.round(F.sum("o_totalprice"), 2).alias(name)
         )
 
-    old = totals("o_orderdate < TIMESTAMP '1995-06-01'", "old_total")
-    return old.join(totals("o_orderdate >= TIMESTAMP '2001-03-01'", "new_total"), "key", "full")
+    old = totals("o_orderdate < TIMESTAMP '1998-01-01'", "old_total")
+    return old.join(totals("o_orderdate >= TIMESTAMP '1998-01-01'", "new_total"), "key", "full")
 
 
 @query(
@@ -92,23 +92,24 @@ def join_anti(t: Tables) -> DataFrame:
 @query(
     "join_theta_range",
     """WITH e AS (SELECT min(o_totalprice) AS lo, (max(o_totalprice) - min(o_totalprice)) / 8 AS w FROM orders),
-            b AS (SELECT i AS band, lo + i * w AS low, lo + (i + 1) * w AS high FROM e, range(8) r(i))
-       SELECT band, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN b ON o_totalprice >= low AND o_totalprice < high GROUP BY 1""",
+            b AS (SELECT i AS band, lo + i * w AS low, CASE WHEN i < 7 THEN lo + (i + 1) * w END AS high FROM e, range(8) r(i))
+       SELECT band, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders
+       JOIN b ON o_totalprice >= low AND (high IS NULL OR o_totalprice < high) GROUP BY 1""",
 )
 def join_theta_range(t: Tables) -> DataFrame:
-    """Orders by price band. Bands do not overlap, so a row meets one band at most; they are
-    few and go to every task."""
+    """Orders by price band. Bands do not overlap and the last is open above, so a row meets one band; the eight
+    bands are one row of a global aggregate, and go to every task."""
     price = F.col("o_totalprice")
     width = (F.max(price) - F.min(price)) / 8
     bands = t.orders.agg(F.min(price).alias("lo"), width.alias("w")).select("lo", "w", F.explode(F.sequence(F.lit(0), F.lit(7))).alias("i"))
     bands = bands.select(
         F.col("i").cast("bigint").alias("band"),
         (F.col("lo") + F.col("i") * F.col("w")).alias("low"),
-        (F.col("lo") + (F.col("i") + 1) * F.col("w")).alias("high"),
+        F.when(F.col("i") < 7, F.col("lo") + (F.col("i") + 1) * F.col("w")).alias("high"),
     )
-    inside = (price >= F.col("low")) & (price < F.col("high"))
+    inside = (price >= F.col("low")) & (F.col("high").isNull() | (price < F.col("high")))
     return (
-        t.orders.join(broadcast_if_small(bands), inside)
+        t.orders.join(F.broadcast(bands), inside)
         .groupBy("band")
         .agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
     )
@@ -127,16 +128,16 @@ def join_range_totals(t: Tables) -> DataFrame:
     The total inside a spell is the running total at its end less that at its start, so
     the work is linear in events and spells even where one user has most of both.
     """
-    rows = t.events.select("user_id", "ts", F.lit(2).alias("kind"), F.lit(1).alias("one"), "value", F.col("event_id").alias("id"))
-    signups = t.events.filter("event_type = 'signup'")
 
-    def edge(kind: int, at) -> DataFrame:
-        # An edge sorts before the events of its own instant: the start counts them, the end does not.
-        return signups.select("user_id", at.alias("ts"), F.lit(kind).alias("kind"), F.lit(0).alias("one"), F.lit(0.0).alias("value"), F.col("event_id").alias("id"))
+    def mark(kind: int, at, one: int, value) -> Column:
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(one).alias("one"), value.alias("value"))
 
-    marks = rows.union(edge(0, F.col("ts"))).union(edge(1, F.col("ts") + F.expr("INTERVAL 6 HOURS")))
-    slot, order = F.date_trunc("day", "ts"), ["ts", "kind", "id"]
-    totals = running_sum(marks, ["user_id"], slot, order, ["one", "value"], ["n", "total"])
+    # An edge sorts before the events of its own instant: the start counts them, the end does not.
+    ts, none = F.col("ts"), F.lit(0.0)
+    event, edges = mark(2, ts, 1, F.col("value")), [mark(0, ts, 0, none), mark(1, ts + F.expr("INTERVAL 6 HOURS"), 0, none)]
+    of_row = F.when(F.col("event_type") == "signup", F.array(event, *edges)).otherwise(F.array(event))
+    marks = t.events.select("user_id", F.col("event_id").alias("id"), F.inline(of_row))
+    totals = running_sum(marks, ["user_id"], ["at", "kind", "id"], ["one", "value"], ["n", "total"])
     sign = F.when(F.col("kind") == 1, 1).otherwise(-1)
     return (
         totals.filter("kind < 2")
@@ -170,10 +171,10 @@ def join_cross(t: Tables) -> DataFrame:
        JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
 )
 def join_broadcast(t: Tables) -> DataFrame:
-    """Small dimensions go to every task, after their size was checked."""
+    """Small dimensions go to every task: Spark broadcasts a side whose size in bytes is below its limit."""
     nations = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     return (
-        t.customer.join(broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
+        t.customer.join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name", "r_name")
         .agg(F.count("*").alias("customers"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
     )

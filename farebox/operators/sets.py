@@ -6,14 +6,14 @@ from pyspark.sql import functions as F
 from farebox.registry import query
 from farebox.tables import Tables
 
-BAGS = """a AS (SELECT l_suppkey AS supp, l_returnflag AS flag FROM lineitem WHERE l_quantity < 10),
-  b AS (SELECT l_suppkey AS supp, l_returnflag AS flag FROM lineitem WHERE l_quantity > 45)"""
+BAGS = """a AS (SELECT l_suppkey AS supp, l_returnflag AS flag FROM lineitem WHERE l_quantity < 25),
+  b AS (SELECT l_suppkey AS supp, l_returnflag AS flag FROM lineitem WHERE l_quantity >= 25)"""
 
 
 def bags(t: Tables) -> tuple[DataFrame, DataFrame]:
-    """Two bags of (supplier, flag) pairs that overlap and hold duplicates."""
+    """Two bags of (supplier, flag) pairs that overlap and hold duplicates; together they hold every line."""
     pair = [F.col("l_suppkey").alias("supp"), F.col("l_returnflag").alias("flag")]
-    return t.lineitem.filter("l_quantity < 10").select(pair), t.lineitem.filter("l_quantity > 45").select(pair)
+    return t.lineitem.filter("l_quantity < 25").select(pair), t.lineitem.filter("l_quantity >= 25").select(pair)
 
 
 def counted(df: DataFrame) -> DataFrame:

@@ -1,7 +1,7 @@
 """Window functions.
 
-A key may hold a large part of all rows, so row-level windows run inside (key, step)
-groups and are joined up by offsets or by overlapping blocks (``farebox.scale``).
+A key may hold a large part of all rows, so row-level windows run inside slots of a range
+sort and are joined up by offsets or by overlapping blocks (``farebox.scale``).
 Windows partitioned by a key alone only see pre-aggregated rows.
 """
 
@@ -13,14 +13,6 @@ from farebox.scale import in_blocks, number_rows, running_sum
 from farebox.tables import Tables
 
 
-def week() -> Column:
-    return F.date_trunc("week", "o_orderdate")
-
-
-def hour() -> Column:
-    return F.date_trunc("hour", "ts")
-
-
 @query(
     "win_ranking",
     """WITH m AS (SELECT l_returnflag AS flag, date_trunc('month', l_shipdate) AS ship_month, count(*) AS n FROM lineitem GROUP BY ALL)
@@ -56,7 +48,7 @@ def win_ranking(t: Tables) -> DataFrame:
 def win_row_number(t: Tables) -> DataFrame:
     """Position of each order in its customer's history."""
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate")
-    return number_rows(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+    return number_rows(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
 
 
 @query(
@@ -79,7 +71,7 @@ def win_top_per_key(t: Tables) -> DataFrame:
 )
 def win_running_sum(t: Tables) -> DataFrame:
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    summed = running_sum(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"], ["o_totalprice"], ["spent_so_far"])
+    summed = running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], ["o_totalprice"], ["spent_so_far"])
     return summed.select("o_custkey", "o_orderkey", F.round("spent_so_far", 2).alias("spent_so_far"))
 
 
@@ -116,7 +108,7 @@ def win_share_of_total(t: Tables) -> DataFrame:
 def win_lag_lead(t: Tables) -> DataFrame:
     """Neighbours of each event in its user's history."""
     events = t.events.select("event_id", "user_id", "event_type", F.date_trunc("second", "ts").alias("ts"))
-    numbered = number_rows(events, ["user_id"], hour(), ["ts", "event_id"])
+    numbered = number_rows(events, ["user_id"], ["ts", "event_id"])
     w = Window.partitionBy("user_id", "_block").orderBy("rn")
     return (
         in_blocks(numbered, "rn", 50_000, before=1, after=2)
@@ -141,7 +133,7 @@ def win_lag_lead(t: Tables) -> DataFrame:
 def win_rows_frame(t: Tables) -> DataFrame:
     """Moving mean over three orders and maximum around each order."""
     orders = t.orders.select("o_custkey", "o_orderkey", "o_orderdate", "o_totalprice")
-    numbered = number_rows(orders, ["o_custkey"], week(), ["o_orderdate", "o_orderkey"])
+    numbered = number_rows(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     w = Window.partitionBy("o_custkey", "_block").orderBy("rn")
     return (
         in_blocks(numbered, "rn", 50_000, before=2, after=1)
@@ -164,19 +156,21 @@ def win_rows_frame(t: Tables) -> DataFrame:
 def win_range_frame(t: Tables) -> DataFrame:
     """Events and value of the same user in the hour up to each event.
 
-    Each row also goes to the following hour as context, so a window per (user, hour) is exact.
+    Running totals at the event less those at the start of its hour: linear, however many events the hour holds.
+    Among marks of one instant, starts of hours come first, then events, then the ends that count them.
     """
-    length = 3_600_000_000
-    events = t.events.select("event_id", "user_id", "value", F.unix_micros("ts").alias("at"))
-    events = events.withColumn("home", F.floor(F.col("at") / length)).withColumn("step", F.explode(F.array("home", F.col("home") + 1)))
-    w = Window.partitionBy("user_id", "step").orderBy("at").rangeBetween(-length, Window.currentRow)
+    at = F.unix_micros("ts")
+
+    def mark(kind: int, when: Column, one: int, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), when.alias("at"), F.lit(one).alias("one"), value.alias("value"))
+
+    none = F.lit(0.0)
+    marks = F.array(mark(0, at - 3_600_000_000, 0, none), mark(1, at, 1, F.col("value")), mark(2, at, 0, none))
+    rows = t.events.select("event_id", "user_id", F.inline(marks))
+    totals = running_sum(rows, ["user_id"], ["at", "kind", "event_id"], ["one", "value"], ["n", "total"])
+    sign = F.when(F.col("kind") == 2, 1).otherwise(-1)
     return (
-        events.select(
-            "event_id",
-            F.count("*").over(w).alias("events_1h"),
-            F.round(F.sum("value").over(w), 4).alias("value_1h"),
-            (F.col("home") == F.col("step")).alias("own"),
-        )
-        .filter("own")
-        .drop("own")
+        totals.filter("kind <> 1")
+        .groupBy("event_id")
+        .agg(F.sum(sign * F.col("n")).alias("events_1h"), F.round(F.sum(sign * F.col("total")), 4).alias("value_1h"))
     )

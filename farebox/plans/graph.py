@@ -16,7 +16,6 @@ from farebox.tables import Tables
 
 DAMPING = 0.85
 CUT_EVERY = 3
-MAX_ROUNDS = 100
 
 
 # --- graphs taken from the tables ---------------------------------------------------
@@ -80,8 +79,12 @@ def pagerank(edges: DataFrame, rounds: int) -> DataFrame:
     return ranks
 
 
-def pagerank_until(edges: DataFrame, tolerance: float, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """Ranks until no vertex changes by more than ``tolerance``; here vertices nobody links to stay."""
+def pagerank_until(edges: DataFrame, tolerance: float, max_rounds: int = 1000) -> DataFrame:
+    """Ranks until no vertex changes by more than ``tolerance``; here vertices nobody links to stay.
+
+    Raises if ``max_rounds`` are not enough: changes shrink by the damping with every round, so a tolerance that
+    floating point can tell is met long before.
+    """
     links = workspace.stored(with_out_degree(edges), "links")
     ids = links.select(F.col("src").alias("id")).union(links.select("dst")).distinct()
     base = F.lit(1 - DAMPING)
@@ -92,8 +95,8 @@ def pagerank_until(edges: DataFrame, tolerance: float, max_rounds: int = MAX_ROU
         change = both.agg(F.max(F.abs(F.col("new") - F.col("rank")))).first()[0]
         ranks = both.select("id", F.col("new").alias("rank"))
         if change is None or change <= tolerance:
-            break
-    return ranks
+            return ranks
+    raise RuntimeError(f"ranks still change by {change} after {max_rounds} rounds")
 
 
 def both_ways(edges: DataFrame) -> DataFrame:
@@ -110,7 +113,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     links = workspace.cut(both_ways(edges).filter("src > dst"))
     before = None
-    for _ in range(MAX_ROUNDS):
+    while True:
         near = both_ways(links)
         smallest = near.groupBy("src").agg(F.least(F.min("dst"), F.first("src")).alias("low"))
         large = near.filter("dst > src").join(smallest, "src").select(F.col("dst").alias("src"), F.col("low").alias("dst"))
@@ -133,7 +136,7 @@ def transitive_closure(edges: DataFrame) -> DataFrame:
     base = edges.select("src", "dst").distinct()
     paths = fresh = workspace.cut(base)
     step = base.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
-    for _ in range(MAX_ROUNDS):
+    while True:
         longer = fresh.join(step, fresh["dst"] == step["mid"]).select("src", F.col("far").alias("dst")).distinct()
         fresh = workspace.cut(longer.join(paths, ["src", "dst"], "left_anti"))
         if fresh.isEmpty():
@@ -150,7 +153,7 @@ def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     spark = edges.sparkSession
     moved = spark.range(source, source + 1).select("id", F.lit(0.0).alias("distance"))
     known = moved
-    for _ in range(MAX_ROUNDS):
+    while True:
         offers = (
             moved.join(edges, moved["id"] == edges["src"])
             .groupBy(F.col("dst").alias("id"))

@@ -98,13 +98,12 @@ SCORED = """s AS (SELECT l_quantity AS score, (l_returnflag = 'R')::INT AS label
 def roc_area(scored: DataFrame) -> DataFrame:
     """Area under the ROC and the precision-recall curve of (score, label) rows.
 
-    Rows are counted per score first; the running counts are built in two levels, by
-    whole score and inside it.
+    Rows are counted per score first; the running counts are built over the slots of a range
+    sort, whatever the scale of the scores.
     """
     points = scored.groupBy("score").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("n"))
     points = points.withColumn("all", F.lit(1)).withColumn("down", -F.col("score"))
-    slot = F.floor("down")
-    above = running_sum(points, ["all"], slot, ["down"], ["p", "n"], ["tp", "fp"])
+    above = running_sum(points, ["all"], ["down"], ["p", "n"], ["tp", "fp"])
     totals = points.agg(F.sum("p").alias("pos"), F.sum("n").alias("neg"))
     row = above.withColumn("pos", totals.select("pos").scalar()).withColumn("neg", totals.select("neg").scalar())
     area = F.col("n") * (F.col("tp") - F.col("p") / 2)

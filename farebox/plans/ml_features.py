@@ -26,7 +26,7 @@ def customer_vectors(t: Tables) -> DataFrame:
 
 @query(
     "ml_text_features",
-    r"""WITH d AS (SELECT doc_id, string_split_regex(lower(text), '\s') AS w, list_filter(string_split_regex(lower(text), '[^a-z]+'), lambda x: length(x) > 0) AS r FROM documents)
+    r"""WITH d AS (SELECT doc_id, string_split_regex(lower(text), '\s') AS w, list_filter(regexp_extract_all(lower(text), '\p{L}+'), lambda x: length(x) > 0) AS r FROM documents)
         SELECT doc_id, len(w) AS tokens, len(r) AS words, len(list_filter(r, lambda x: x NOT IN ('the', 'of', 'and'))) AS kept,
           greatest(len(list_filter(r, lambda x: x NOT IN ('the', 'of', 'and'))) - 1, 0) AS pairs FROM d""",
 )
@@ -34,7 +34,7 @@ def ml_text_features(t: Tables) -> DataFrame:
     """Tokens by blanks and by pattern, without stop words, and as word pairs."""
     stages = [
         mf.Tokenizer(inputCol="text", outputCol="tokens"),
-        mf.RegexTokenizer(inputCol="text", outputCol="words", pattern="[^a-z]+"),
+        mf.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\P{L}+"),
         mf.StopWordsRemover(inputCol="words", outputCol="kept", stopWords=["the", "of", "and"]),
         mf.NGram(inputCol="kept", outputCol="pairs", n=2),
     ]
@@ -46,14 +46,19 @@ def ml_text_features(t: Tables) -> DataFrame:
 def ml_text_vectors(t: Tables) -> DataFrame:
     """Hashed term counts, tf-idf, vocabulary counts and word vectors of the texts."""
     stages = [
-        mf.RegexTokenizer(inputCol="text", outputCol="words", pattern="[^a-zäöüßéèêàçñ]+"),
+        mf.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\P{L}+"),
         mf.HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 12),
         mf.IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2),
-        mf.CountVectorizer(inputCol="words", outputCol="counts", vocabSize=1000, minDF=2.0),
-        mf.Word2Vec(inputCol="words", outputCol="meaning", vectorSize=16, minCount=20, maxIter=1, seed=1, numPartitions=4),
+        # As many words as come up in two texts: the limit is that of an index, not of the vocabulary.
+        mf.CountVectorizer(inputCol="words", outputCol="counts", vocabSize=(1 << 31) - 1, minDF=2.0),
+        mf.Word2Vec(inputCol="words", outputCol="meaning", vectorSize=16, minCount=2, maxIter=1, seed=1, numPartitions=4),
     ]
     vectors = Pipeline(stages=stages).fit(t.documents).transform(t.documents)
 
+    def total_of(vector: str) -> Column:
+        """Sum over the entries that a sparse vector holds, without making it dense."""
+        return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda s, x: s + x)
+
     def norm(vector: str) -> Column:
         return F.sqrt(F.aggregate(vector_to_array(vector), F.lit(0.0), lambda s, x: s + x * x))
 
@@ -62,7 +67,7 @@ def ml_text_vectors(t: Tables) -> DataFrame:
         F.size("words").alias("n_words"),
         F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("n_hashed"),
         norm("tfidf").alias("tfidf_norm"),
-        F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda s, x: s + x).alias("in_vocabulary"),
+        total_of("counts").alias("in_vocabulary"),
         norm("meaning").alias("meaning_norm"),
     )
 

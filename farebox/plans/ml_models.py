@@ -118,8 +118,8 @@ def ml_cluster(t: Tables) -> DataFrame:
         found.append((name, "silhouette", value, value > 0))
     words = Pipeline(
         stages=[
-            mf.RegexTokenizer(inputCol="text", outputCol="words", pattern="[^a-z]+"),
-            mf.CountVectorizer(inputCol="words", outputCol="features", vocabSize=500),
+            mf.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\P{L}+"),
+            mf.HashingTF(inputCol="words", outputCol="features", numFeatures=1 << 14),
         ]
     )
     texts = words.fit(t.documents).transform(t.documents).select("doc_id", "features")

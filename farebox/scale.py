@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox import workspace
 
-BROADCAST_ROWS = 100_000
 ROWS_PER_CHUNK = 10_000
 
 
@@ -18,38 +18,36 @@ def parts_of(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast after counting it; a larger side stays a shuffle join.
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, where a null equals a null; Spark plans it as it does plain equality. Keys come once."""
+    renamed = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_same_{k}")) for k in keys))
+    return left.join(renamed, on, how).drop(*(f"_same_{k}" for k in keys))
 
-    ``limit`` bounds the count itself, so the check costs at most ``max_rows + 1`` rows.
+
+def sorted_slots(df: DataFrame, order: Sequence[Column | str]) -> DataFrame:
+    """``df`` sorted by range and written once, with ``_place`` (growing along the order) and ``_slot``.
+
+    A slot is a partition of the sort: consecutive rows of bounded number, so that a key with most of the rows is
+    spread over many slots. ``order`` should end in a unique column.
     """
-    few = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if few else df
+    placed = workspace.stored(df.orderBy(*order).withColumn("_place", F.monotonically_increasing_id()), "sorted")
+    return placed.withColumn("_slot", F.shiftright("_place", 33))
 
 
-def number_rows(
-    df: DataFrame, keys: Sequence[str], slot: Column, order: Sequence[Column | str], name: str = "rn"
-) -> DataFrame:
-    """``row_number`` per key in two levels, so no key is ordered by one task.
+def number_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str = "rn") -> DataFrame:
+    """``row_number`` per key, with no key ordered by one task and no window over the rows.
 
-    ``slot`` is a coarse step of the ordering (such as the month of a date): it must
-    never decrease along ``order``. Rows are numbered inside (key, slot); the offset of
-    each slot comes from the slot counts, which are pre-aggregated before they move.
+    Rows of a key are neighbours in the sort, so a row's number is its place less the first place of its key in the
+    slot, plus the rows of the key in earlier slots. Null keys and null order values are kept, as by a window.
     """
-    inside = [*keys, "_slot"]
-    cut = df.withColumn("_slot", slot)
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        cut.groupBy(*inside)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(*inside, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    )
-    local = cut.withColumn("_local", F.row_number().over(Window.partitionBy(*inside).orderBy(*order)))
-    return (
-        local.join(offsets, inside)
-        .withColumn(name, F.col("_offset") + F.col("_local"))
-        .drop("_slot", "_offset", "_local")
-    )
+    placed = sorted_slots(df, [*keys, *order])
+    ahead = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys, "_slot").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    shift = F.coalesce(F.sum("_n").over(ahead), F.lit(0)) - F.col("_first") + 1
+    shifts = counts.select(*keys, "_slot", shift.alias("_shift"))
+    joined = join_same(placed, shifts, [*keys, "_slot"])
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).alias(name))
 
 
 def in_blocks(df: DataFrame, rn: str, size: int, before: int = 0, after: int = 0) -> DataFrame:
@@ -82,45 +80,46 @@ def dense_ids(df: DataFrame, order: Sequence[Column | str], name: str = "id", st
     ids then add the sizes of the partitions before. ``order`` should end in a unique
     key, so that one frequent value can be split over several ranges.
     """
-    place = F.monotonically_increasing_id()
-    placed = workspace.stored(df.orderBy(*order).withColumn("_place", place), "ids")
-    placed = placed.withColumn("_part", F.shiftright("_place", 33)).withColumn(
-        "_pos", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
-    )
-    # One row per partition: the window below never sees more rows than there are partitions.
-    ahead = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sorted_slots(df, order).withColumn("_pos", F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)))
+    # One row per slot: the window below never sees more rows than there are slots.
+    ahead = Window.orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        placed.groupBy("_part")
+        placed.groupBy("_slot")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
+        .select("_slot", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_offset"))
     )
     return (
-        placed.join(broadcast_if_small(offsets), "_part")
+        placed.join(offsets, "_slot")
         .withColumn(name, F.col("_offset") + F.col("_pos") + F.lit(start))
-        .drop("_place", "_part", "_pos", "_offset")
+        .drop("_place", "_slot", "_pos", "_offset")
     )
 
 
 def chunked(df: DataFrame, keys: Sequence[str], unique: Sequence[str], rows: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Add ``_chunk`` so that (key, chunk) groups hold about ``rows`` rows, however big the key."""
+    """Add ``_chunk`` so that (key, chunk) groups hold about ``rows`` rows, however big the key. Keys may be null."""
     sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        df.join(sizes, list(keys))
-        .withColumn("_chunk", F.pmod(F.xxhash64(*unique), F.ceil(F.col("_n") / rows)))
-        .drop("_n")
-    )
+    chunk = F.pmod(F.xxhash64(*unique), F.ceil(F.col("_n") / rows))
+    return join_same(df, sizes, keys).select(*df.columns, chunk.alias("_chunk"))
 
 
 def running_sum(
-    df: DataFrame, keys: Sequence[str], slot: Column, order: Sequence[Column | str], values: Sequence[str], names: Sequence[str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], values: Sequence[str], names: Sequence[str]
 ) -> DataFrame:
-    """Running sums of ``values`` per key, in the same two levels as ``number_rows``."""
+    """Running sums of ``values`` per key: inside the slots of a range sort, plus the sums of earlier slots.
+
+    Null values add nothing; before the first value of a key the sum is null, as in SQL. Keys may be null.
+    """
+    placed = sorted_slots(df, [*keys, *order])
     inside = [*keys, "_slot"]
-    cut = df.withColumn("_slot", slot)
-    before = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    frame = Window.partitionBy(*inside).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sums = cut.groupBy(*inside).agg(*(F.sum(v).alias(f"_sum_{n}") for v, n in zip(values, names)))
-    offsets = sums.select(*inside, *(F.coalesce(F.sum(f"_sum_{n}").over(before), F.lit(0)).alias(f"_offset_{n}") for n in names))
-    local = cut.select("*", *(F.sum(v).over(frame).alias(f"_local_{n}") for v, n in zip(values, names)))
-    joined = local.join(offsets, inside)
-    return joined.select(*df.columns, *((F.col(f"_offset_{n}") + F.col(f"_local_{n}")).alias(n) for n in names))
+    ahead = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    frame = Window.partitionBy(*inside).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = placed.groupBy(*inside).agg(*(F.sum(v).alias(f"_sum_{n}") for v, n in zip(values, names)))
+    offsets = sums.select(*inside, *(F.sum(f"_sum_{n}").over(ahead).alias(f"_offset_{n}") for n in names))
+    local = placed.select("*", *(F.sum(v).over(frame).alias(f"_local_{n}") for v, n in zip(values, names)))
+    joined = join_same(local, offsets, inside)
+
+    def total(n: str) -> Column:
+        offset, here = F.col(f"_offset_{n}"), F.col(f"_local_{n}")
+        return F.coalesce(offset + here, offset, here).alias(n)
+
+    return joined.select(*df.columns, *(total(n) for n in names))

@@ -140,13 +140,14 @@ def io_partitioned_write(t: Tables) -> DataFrame:
 @query(
     "io_schema_merge",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_totalprice END AS o_totalprice,
-         CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS o_custkey, o_orderstatus AS status FROM orders WHERE o_orderstatus IN ('F', 'O')""",
+         CASE WHEN o_orderstatus = 'O' THEN o_custkey END AS o_custkey, o_orderstatus AS status FROM orders""",
 )
 def io_schema_merge(t: Tables) -> DataFrame:
     """Files with different columns under one folder, read as one table with all columns."""
     path = workspace.scratch(t.spark, "merged")
     t.orders.filter("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice").write.parquet(f"{path}/status=F")
     t.orders.filter("o_orderstatus = 'O'").select("o_orderkey", "o_custkey").write.parquet(f"{path}/status=O")
+    t.orders.filter("o_orderstatus = 'P'").select("o_orderkey").write.parquet(f"{path}/status=P")
     return t.spark.read.option("mergeSchema", True).parquet(path)
 
 
@@ -172,7 +173,7 @@ def io_binary_files(t: Tables) -> DataFrame:
             F.lit(None).cast("bigint").alias("key_sum"),
         )
     )
-    size = 16
+    size = 21  # every bigint fits before the line feed
     path = workspace.scratch(t.spark, "records")
     keys = t.orders.select(F.lpad(F.col("o_orderkey").cast("string"), size - 1, "0").alias("record"))
     keys.write.option("maxRecordsPerFile", 1_000_000).text(path)  # a file is one value when read as bytes

@@ -55,13 +55,13 @@ def io_bucketed_write(t: Tables) -> DataFrame:
 
 @query(
     "io_insert_into",
-    """SELECT c_mktsegment, count(*) AS n FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') GROUP BY 1""",
+    "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY 1",
 )
 def io_insert_into(t: Tables) -> DataFrame:
     """Insert by position into an existing table."""
     picked = t.customer.select("c_custkey", "c_mktsegment")
     name = save_table(picked.filter("c_mktsegment = 'BUILDING'").write, t, "inserted")
-    picked.filter("c_mktsegment = 'MACHINERY'").write.insertInto(name)
+    picked.filter("c_mktsegment <> 'BUILDING'").write.insertInto(name)
     return t.spark.table(name).groupBy("c_mktsegment").agg(F.count("*").alias("n"))
 
 
@@ -104,14 +104,15 @@ def sql_text_queries(t: Tables) -> DataFrame:
 @query(
     "sql_forms",
     """SELECT c_custkey, c_acctbal * 2 + 1 AS number, CASE WHEN c_nationkey = 1 THEN 'one' END AS named, 20 AS second_item, c_mktsegment AS tag
-       FROM customer JOIN range(0, 1000) r(id) ON c_custkey = r.id WHERE NOT (c_acctbal < 0)""",
+       FROM customer WHERE NOT (c_acctbal < 0)""",
 )
 def sql_forms(t: Tables) -> DataFrame:
-    """Constructors and access for lists, maps and structs, and the table function ``range``."""
+    """Constructors and access for lists, maps and structs, and the table function ``range`` up to the largest key."""
+    end = t.customer.agg(F.max("c_custkey")).first()[0]
     return t.spark.sql(
-        """SELECT c_custkey, c_acctbal * 2 + 1 AS number, try_element_at(map(1, 'one'), c_nationkey) AS named,
+        f"""SELECT c_custkey, c_acctbal * 2 + 1 AS number, try_element_at(map(1, 'one'), c_nationkey) AS named,
                   array(10, 20)[1] AS second_item, named_struct('tag', c_mktsegment).tag AS tag
-           FROM {customer} JOIN range(0, 1000) r ON c_custkey = r.id WHERE NOT (c_acctbal < 0)""",
+           FROM {{customer}} JOIN range(0, {(end or 0) + 1}) r ON c_custkey = r.id WHERE NOT (c_acctbal < 0)""",
         customer=t.customer,
     )
 

@@ -11,7 +11,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from farebox import workspace
 from farebox.registry import query
-from farebox.streaming.runs import Feed, Run
+from farebox.scale import dense_ids
+from farebox.streaming.runs import Feed, Run, end_marker
 from farebox.tables import SCHEMAS, Tables
 
 BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -20,13 +21,13 @@ STOP_WORDS = ["the", "of", "and", "der", "la"]  # fixed values: words left out o
 
 @query("stream_rate", "SELECT o_orderpriority, count(*) AS n FROM orders GROUP BY 1")
 def stream_rate(t: Tables) -> DataFrame:
-    """Counted ticks, one per order, joined to the order of that number."""
+    """Counted ticks, one per order, joined to the order of that number. Orders are numbered: their keys may have gaps."""
     ticks = t.spark.readStream.format("rate-micro-batch").option("rowsPerBatch", t.orders.count()).load()
-    orders = t.orders.select(F.col("o_orderkey").alias("value"), "o_orderpriority")
+    orders = dense_ids(t.orders.select("o_orderkey", "o_orderpriority"), ["o_orderkey"], "value").drop("o_orderkey")
     run = Run(t, "rate")
     stream = ticks.join(orders, "value").select("o_orderpriority")
     writer = stream.writeStream.format("parquet").option("checkpointLocation", run.checkpoint)
-    writer.trigger(once=True).start(run.out).awaitTermination()
+    writer.trigger(availableNow=True).start(run.out).awaitTermination()
     return t.spark.read.schema(stream.schema).parquet(run.out).groupBy("o_orderpriority").agg(F.count("*").alias("n"))
 
 
@@ -236,16 +237,9 @@ def stream_static_join(t: Tables) -> DataFrame:
     return Run(t, "static-join").per_batch(counts, "complete", rank).last()
 
 
-def day_before_end(t: Tables) -> Column:
-    return t.events.agg(F.max("ts") - F.expr("INTERVAL 1 DAY")).scalar()
-
-
-BEFORE = "(SELECT max(ts) - INTERVAL 1 DAY FROM events)"
-
-
 @query(
     "stream_stream_join",
-    f"""WITH l AS (SELECT * FROM events WHERE event_type IN ('click', 'view') AND ts < {BEFORE}), r AS (SELECT * FROM events WHERE value > 50 AND ts < {BEFORE}),
+    """WITH l AS (SELECT * FROM events WHERE event_type IN ('click', 'view')), r AS (SELECT * FROM events WHERE value > 50),
         j AS (SELECT l.event_id AS seen, l.user_id, r.event_id AS paid, r.value FROM l FULL JOIN r ON l.event_id = r.event_id)
         SELECT 'inner' AS kind, * FROM j WHERE seen IS NOT NULL AND paid IS NOT NULL UNION ALL SELECT 'left_outer', * FROM j WHERE seen IS NOT NULL
         UNION ALL SELECT 'right_outer', * FROM j WHERE paid IS NOT NULL UNION ALL SELECT 'full_outer', * FROM j""",
@@ -253,21 +247,26 @@ BEFORE = "(SELECT max(ts) - INTERVAL 1 DAY FROM events)"
 def stream_stream_join(t: Tables) -> DataFrame:
     """Two streams about the same events, joined on the event under four join types.
 
-    The time bound lets old state go. The last day is left out of the answer: its
-    unmatched rows are still being waited for.
+    The time bound lets old state go. Two markers past the end, one for either side, close the wait for partners of
+    the last rows; they are not each other's partner.
     """
-    seen = t.stream("events").filter("event_type IN ('click', 'view')").withWatermark("ts", "1 hour")
-    seen = seen.select(F.col("event_id").alias("seen"), "user_id", F.col("ts").alias("seen_ts"))
-    paid = t.stream("events").filter("value > 50").withWatermark("ts", "1 hour")
-    paid = paid.select(F.col("event_id").alias("paid"), "value", F.col("ts").alias("paid_ts"))
+
+    def seen(events: DataFrame) -> DataFrame:
+        kept = events.filter("event_type IN ('click', 'view')").withWatermark("ts", "1 hour")
+        return kept.select(F.col("event_id").alias("seen"), "user_id", F.col("ts").alias("seen_ts"))
+
+    def paid(events: DataFrame) -> DataFrame:
+        kept = events.filter("value > 50").withWatermark("ts", "1 hour")
+        return kept.select(F.col("event_id").alias("paid"), "value", F.col("ts").alias("paid_ts"))
+
+    markers = end_marker(t, -1, "click", 0.0).union(end_marker(t, -2, "marker", 100.0))
     on = F.expr("seen = paid AND paid_ts >= seen_ts AND paid_ts <= seen_ts + INTERVAL 1 HOUR")
     parts = []
     for kind in ("inner", "left_outer", "right_outer", "full_outer"):
-        pairs = seen.join(paid, on, kind)
-        parts.append(Run(t, kind).append(pairs).rows().withColumn("kind", F.lit(kind)))
+        run = Run(t, kind).append_all(t.events, lambda e, kind=kind: seen(e).join(paid(e), on, kind), markers)
+        parts.append(run.rows().withColumn("kind", F.lit(kind)))
     every = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
-    done = F.coalesce("seen_ts", "paid_ts") < day_before_end(t)
-    return every.filter(done).select("kind", "seen", "user_id", "paid", "value")
+    return every.select("kind", "seen", "user_id", "paid", "value")
 
 
 def count_rows(key, pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -355,8 +354,7 @@ def track_sessions(key, pieces: Iterator[pd.DataFrame], state: GroupState) -> It
     """WITH e AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER w + INTERVAL 30 MINUTE OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh
                   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
             s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS session FROM e)
-       SELECT user_id, min(ts) AS started, max(ts) AS last_event, count(*) AS events FROM s GROUP BY user_id, session
-       HAVING last_event < (SELECT max(ts) - INTERVAL 1 DAY FROM events)""",
+       SELECT user_id, min(ts) AS started, max(ts) AS last_event, count(*) AS events FROM s GROUP BY user_id, session""",
 )
 def stream_session_state(t: Tables) -> DataFrame:
     """The sessions again, with hand-kept state and an event-time timeout per user.
@@ -364,9 +362,10 @@ def stream_session_state(t: Tables) -> DataFrame:
     Events are merged into spans inside each Arrow batch, so little of a busy user is shuffled.
     """
     feed, run = Feed(t, SCHEMAS["events"]), Run(t, "session-state")
-    for half in ("ts < TIMESTAMP '2024-01-16 12:00:00'", "ts >= TIMESTAMP '2024-01-16 12:00:00'"):
+    early = F.col("ts") < "2024-01-16 12:00:00"
+    for part in (t.events.filter(early), t.events.filter(~early), end_marker(t)):
         spans = (
-            feed.add(t.events.filter(half))
+            feed.add(part)
             .read()
             .select("user_id", F.unix_micros("ts").alias("at"))
             .mapInPandas(squeeze, "user_id bigint, first bigint, last bigint, n bigint, last_ts timestamp")
@@ -383,7 +382,6 @@ def stream_session_state(t: Tables) -> DataFrame:
     return (
         run.rows()
         .select("user_id", F.timestamp_micros("first").alias("started"), F.timestamp_micros("last").alias("last_event"), "events")
-        .filter(F.col("last_event") < day_before_end(t))
     )
 
 

@@ -11,15 +11,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from farebox import workspace
 from farebox.tables import Tables
 
 
+def end_marker(t: Tables, event_id: int = -1, event_type: str = "click", value: float = 0.0) -> DataFrame:
+    """One event two days after the last, to close what is still open; its id is none of the table's."""
+    row = F.struct(
+        F.lit(event_id).cast("bigint").alias("event_id"),
+        (F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"),
+        F.lit(-1).cast("bigint").alias("user_id"),
+        F.lit(event_type).alias("event_type"),
+        F.lit(value).alias("value"),
+        F.lit(None).cast("string").alias("props"),
+    )
+    return t.events.agg(row.alias("e")).where("e.ts IS NOT NULL").select("e.*")
+
+
 class Feed:
     """A folder that fills up slice by slice, read as a stream."""
 
-    def __init__(self, t: Tables, schema: str, fmt: str = "parquet"):
+    def __init__(self, t: Tables, schema: str | StructType, fmt: str = "parquet"):
         self.t, self.schema, self.fmt = t, schema, fmt
         self.path = workspace.scratch(t.spark, f"feed-{fmt}")
 
@@ -64,6 +78,16 @@ class Run:
         self._finish(writer.trigger(availableNow=True).start())
         return self
 
+    def append_all(self, rows: DataFrame, stream: Callable[[DataFrame], DataFrame], markers: DataFrame) -> Run:
+        """An append run over ``rows``, and then over ``markers`` that lie past the end of every window.
+
+        The markers move the watermark on, so that all windows of ``rows`` are closed and written; their own are not.
+        """
+        feed = Feed(self.t, rows.schema)
+        for part in (rows, markers):
+            self.append(stream(feed.add(part).read()))
+        return self
+
     def rows(self) -> DataFrame:
         """All rows of an append run."""
         return self.t.spark.read.schema(self.schema).parquet(self.out)

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox.registry import query
-from farebox.streaming.runs import Feed, Run
+from farebox.streaming.runs import Feed, Run, end_marker
 from farebox.tables import SCHEMAS, Tables
 
 DELAY = "1 hour"
@@ -35,19 +35,21 @@ def stream_tumbling(t: Tables) -> DataFrame:
 @query(
     "stream_sliding",
     f"""WITH steps AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts, {EPOCH}) - i * INTERVAL 15 MINUTE AS start, event_type, value
-                       FROM events, range(4) r(i) WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20')
-        SELECT start, event_type, count(*) AS n, max(value) AS peak FROM steps GROUP BY ALL
-        HAVING start + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE ts < TIMESTAMP '2024-01-20')""",
+                       FROM events, range(4) r(i))
+        SELECT start, event_type, count(*) AS n, max(value) AS peak FROM steps GROUP BY ALL""",
 )
 def stream_sliding(t: Tables) -> DataFrame:
-    """Counts per type over one-hour windows that start every quarter of an hour, for a slice of time."""
-    part = t.stream("events").filter("ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-20'")
-    counts = (
-        part.withWatermark("ts", DELAY)
-        .groupBy(F.window("ts", "1 hour", "15 minutes"), "event_type")
-        .agg(F.count("*").alias("n"), F.max("value").alias("peak"))
-    )
-    return Run(t, "sliding").append(counts.select(F.col("window.start").alias("start"), "event_type", "n", "peak")).rows()
+    """Counts per type over one-hour windows that start every quarter of an hour."""
+
+    def counts(events: DataFrame) -> DataFrame:
+        windows = (
+            events.withWatermark("ts", DELAY)
+            .groupBy(F.window("ts", "1 hour", "15 minutes"), "event_type")
+            .agg(F.count("*").alias("n"), F.max("value").alias("peak"))
+        )
+        return windows.select(F.col("window.start").alias("start"), "event_type", "n", "peak")
+
+    return Run(t, "sliding").append_all(t.events, counts, end_marker(t)).rows()
 
 
 @query(

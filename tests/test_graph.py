@@ -87,3 +87,18 @@ def test_singular_values_and_orthonormal_left_factors(spark):
     assert lengths == pytest.approx(np.linalg.svd(a, compute_uv=False)[:3])
     assert u.T @ u == pytest.approx(np.eye(3), abs=1e-9)
     assert a @ right == pytest.approx(u * lengths)
+
+
+def test_loops_go_on_to_the_end_of_a_long_chain(spark):
+    """More than a hundred rounds."""
+    n = 104
+    chain = [(i, i + 1, 1.0) for i in range(n)]
+    edges = edges_of(spark, chain, "src bigint, dst bigint, weight double")
+    assert {r.id: r.distance for r in graph.shortest_paths(edges, 0).collect()} == {i: float(i) for i in range(n + 1)}
+    assert graph.transitive_closure(edges).count() == n * (n + 1) // 2
+
+
+def test_ranks_that_do_not_settle_are_an_error(spark):
+    edges = edges_of(spark, [(0, 1), (1, 2), (2, 0), (2, 1)])
+    with pytest.raises(RuntimeError):
+        graph.pagerank_until(edges, 1e-9, max_rounds=2)

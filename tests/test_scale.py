@@ -31,13 +31,13 @@ def by_key(rows):
 
 def test_number_rows(skewed):
     rows, df = skewed
-    found = {r.id: r.rn for r in scale.number_rows(df, ["k"], F.floor(F.col("at") / 20), ["at", "id"]).collect()}
+    found = {r.id: r.rn for r in scale.number_rows(df, ["k"], ["at", "id"]).collect()}
     assert found == {row[0]: i + 1 for group in by_key(rows).values() for i, row in enumerate(group)}
 
 
 def test_running_sum(skewed):
     rows, df = skewed
-    sums = scale.running_sum(df, ["k"], F.floor(F.col("at") / 20), ["at", "id"], ["v"], ["upto"])
+    sums = scale.running_sum(df, ["k"], ["at", "id"], ["v"], ["upto"])
     found = {r.id: r.upto for r in sums.collect()}
     want = {}
     for group in by_key(rows).values():
@@ -51,7 +51,7 @@ def test_running_sum(skewed):
 @pytest.mark.parametrize("size", [3, 7, 1000])
 def test_blocks_give_exact_frames(skewed, size):
     rows, df = skewed
-    numbered = scale.number_rows(df, ["k"], F.floor(F.col("at") / 20), ["at", "id"])
+    numbered = scale.number_rows(df, ["k"], ["at", "id"])
     w = Window.partitionBy("k", "_block").orderBy("rn")
     framed = scale.in_blocks(numbered, "rn", size, before=2, after=1).select(
         "id", F.sum("v").over(w.rowsBetween(-2, 0)).alias("s"), F.lead("v").over(w).alias("n"), "_halo"
@@ -79,20 +79,45 @@ def test_chunks_are_bounded(skewed):
     assert sizes.agg(F.sum("count")).first()[0] == 3000
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small, large = spark.range(10).toDF("k"), spark.range(1000).toDF("k")
-    text = lambda df: large.join(df, "k").explain(mode="simple") or ""
-    assert "broadcast" in scale.broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString().lower()
-    assert "broadcast" not in scale.broadcast_if_small(large, 100)._jdf.queryExecution().logical().toString().lower()
-    text(small)
-
-
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 30), st.integers(0, 9)), min_size=1, max_size=60))
-def test_two_levels_match_one_window(spark, rows):
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.none() | st.integers(0, 30), st.none() | st.integers(0, 9)), min_size=1, max_size=60))
+def test_slots_match_one_window(spark, rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id bigint, k string, at int, v bigint")
-    plain = Window.partitionBy("k").orderBy("at", "id")
-    want = {r.id: (r.n, r.s) for r in df.select("id", F.row_number().over(plain).alias("n"), F.sum("v").over(plain).alias("s")).collect()}
-    slot = F.floor(F.col("at") / 5)
-    two = scale.number_rows(scale.running_sum(df, ["k"], slot, ["at", "id"], ["v"], ["s"]), ["k"], F.floor(F.col("at") / 7), ["at", "id"])
+    plain = Window.partitionBy("k").orderBy("at", "id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = F.row_number().over(Window.partitionBy("k").orderBy("at", "id"))
+    want = {r.id: (r.n, r.s) for r in df.select("id", number.alias("n"), F.sum("v").over(plain).alias("s")).collect()}
+    two = scale.number_rows(scale.running_sum(df, ["k"], ["at", "id"], ["v"], ["s"]), ["k"], ["at", "id"])
     assert {r.id: (r.rn, r.s) for r in two.collect()} == want
+    assert scale.chunked(df, ["k"], ["id"], rows=5).count() == len(rows)
+
+
+def test_median_with_nulls_and_small_values(spark):
+    from farebox.operators.aggregates import grouped_median, skewed_summary
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["hot"] * 9 + ["cold", None]), rng.choice([None, rng.random()]), rng.choice([None, 1, 2])) for _ in range(500)]
+    df = spark.createDataFrame(rows, "event_type string, value double, user_id bigint")
+    plain = df.groupBy("event_type").agg(
+        F.round(F.median("value"), 4).alias("middle"), F.count("*").alias("n"), F.countDistinct("user_id").alias("users")
+    )
+    want = {r.event_type: (r.middle, r.n, r.users) for r in plain.collect()}
+    assert {r.event_type: r.middle for r in grouped_median(df, "event_type", "value").collect()} == {k: v[0] for k, v in want.items()}
+    assert {r.event_type: (r.middle, r.n, r.users) for r in skewed_summary(df).collect()} == want
+
+
+def test_area_under_curve_of_probabilities(spark):
+    from farebox.plans.metrics import roc_area
+
+    rng = random.Random(3)
+    rows = [(round(rng.random(), 3), rng.randrange(2)) for _ in range(400)]
+    pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
+    want = sum((a > b) + 0.5 * (a == b) for a in pos for b in neg) / len(pos) / len(neg)
+    assert roc_area(spark.createDataFrame(rows, "score double, label int")).first().roc == pytest.approx(want)
+
+
+def test_odd_log_lines(spark):
+    from farebox.operators.aggregates import log_stats
+
+    lines = ['1.1.1.1 - u [01/01/2024:00:00:00] "GET /a HTTP/1.1" 200 5', "not a log line", None, ""]
+    rows = log_stats(spark.createDataFrame([(x,) for x in lines], "line string")).collect()
+    assert sorted((r.ip or "", r.hits, r.bytes) for r in rows) == [("", 3, None), ("1.1.1.1", 1, 5)]
