@@ -35,7 +35,7 @@ def running_scaler(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
     """SELECT o_orderkey, CASE WHEN o_totalprice >= 300000 THEN 'high' WHEN o_totalprice >= 100000 THEN 'mid' ELSE 'low' END AS band FROM orders""",
 )
 def udf_scalar_python(t: Tables) -> DataFrame:
-    band = F.udf(price_band, "string")
+    band = F.udf(price_band, "string", useArrow=True)  # values come in Arrow batches, not one by one
     return t.orders.select("o_orderkey", band("o_totalprice").alias("band"))
 
 
@@ -62,7 +62,7 @@ def udf_scalar_pandas(t: Tables) -> DataFrame:
 )
 def udf_in_sql(t: Tables) -> DataFrame:
     """A registered function in the SELECT and WHERE of SQL text."""
-    t.spark.udf.register("price_band", price_band, "string")
+    t.spark.udf.register("price_band", F.udf(price_band, "string", useArrow=True))
     return t.spark.sql(
         "SELECT price_band(o_totalprice) AS band, count(*) AS n FROM {orders} WHERE price_band(o_totalprice) <> 'low' GROUP BY 1",
         orders=t.orders,

@@ -210,14 +210,15 @@ def ml_lsh(t: Tables) -> DataFrame:
     as one text, so a large group of copies is never paired with itself.
     """
     texts = t.documents.groupBy("text").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
-    items = t.benchmark.groupBy("text").agg(F.min("item_id").alias("id"))
+    items = t.benchmark.filter(r"text rlike '\\S'").groupBy("text").agg(F.min("item_id").alias("id"))
     prepare = Pipeline(
         stages=[
             mf.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\s+"),
             mf.HashingTF(inputCol="words", outputCol="bag", numFeatures=1 << 16, binary=True),
         ]
     ).fit(items)
-    texts = workspace.stored(prepare.transform(texts).select("id", "copies", "bag"), "bags")
+    # A text without words has no hash and is near to none.
+    texts = workspace.stored(prepare.transform(texts.filter(r"text rlike '\\S'")).select("id", "copies", "bag"), "bags")
     minhash = mf.MinHashLSH(inputCol="bag", outputCol="hashes", numHashTables=4, seed=3).fit(texts)
     pairs = minhash.approxSimilarityJoin(texts, prepare.transform(items).select("id", "bag"), 0.9, distCol="distance")
     near_texts = pairs.select(

@@ -2,32 +2,51 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_made: list[str] = []
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The full address of a path: without a scheme it is one of the default file system, for Spark and Python alike."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString().rstrip("/")
+
+
 def root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset a temporary folder is made, but only for a local master:
-    executors on other machines could not read it.
+    Where it is unset, a folder of the default file system is taken, but only for a local master: whether executors on
+    other machines could read it is not known.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    base = tempfile.mkdtemp(prefix="farebox-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        tmp = spark.sparkContext._jsc.hadoopConfiguration().get("hadoop.tmp.dir")
+        base = f"{tmp}/farebox-{uuid.uuid4().hex}"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return qualified(spark, base)
 
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
-    return f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{root(spark)}/{label}-{uuid.uuid4().hex}"
+    _made.append(path)
+    return path
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove everything written below the shared folder by this process so far; results still to be read go too."""
+    removed = 0
+    while _made:
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+        removed += hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return removed
 
 
 def file_store(folder: str):
