@@ -4,11 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from farebox.registry import ORACLES as TWINS
+from farebox.registry import QUERIES
 from farebox.tables import SCHEMAS
 from tests.conftest import SF
 
-QUERIES, TWINS = entry.queries(), entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -44,3 +44,8 @@ def test_entry(spark):
     report = entry.entry(spark)
     assert report.columns == ["TipProcent", "share"]
     assert report.count() > 0
+
+
+def test_entry_holds_the_catalogue():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(TWINS) <= set(entry.oracle_sql()) <= set(entry.queries())
