@@ -23,6 +23,22 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text.cast("binary"), F.lit(b"").cast("binary"))
 
 
+#: Texts that a Python task holds at a time. Texts may be long, so far fewer than Spark's 10,000.
+BATCH_TEXTS = 400
+
+
+def in_small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after lowering the session's Arrow batch size to ``BATCH_TEXTS`` rows, for functions over whole texts.
+
+    The size is read when a query is planned, so it stays lowered; a smaller one of the user's own is kept.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    size = int(df.sparkSession.conf.get(name))
+    if size <= 0 or size > BATCH_TEXTS:
+        df.sparkSession.conf.set(name, str(BATCH_TEXTS))
+    return df
+
+
 def vectorized(returns: str):
     """A pandas UDF that is built when it is called: a type given as text cannot be read before a session is there."""
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox import workspace
-from farebox.llm.common import utf8, vectorized
+from farebox.llm.common import in_small_batches, utf8, vectorized
 
 WINDOW = 13
 MIN_HIT_PCT = 5
@@ -148,7 +148,7 @@ def packed(docs: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_WINDOWS) -> DataFrame:
     """Two structs: ``doc`` and ``hits`` with n_words, n_hit, spans [starts, ends) counted in words, and items."""
-    spark, blocks, text = docs.sparkSession, blocks_of(benchmark, size, most), utf8(F.col("doc.text"))
+    spark, blocks, text = in_small_batches(docs).sparkSession, blocks_of(benchmark, size, most), utf8(F.col("doc.text"))
     first = found_by(next(blocks), spark)
     later = [found_by(b, spark) for b in blocks]
     if not later:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox import workspace
-from farebox.llm.common import utf8, vectorized
+from farebox.llm.common import in_small_batches, utf8, vectorized
 from farebox.llm.rules import SYMBOLS, repeat_words
 
 FEATURES = 192
@@ -196,7 +196,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every document."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)).cast("int")
     rows = workspace.stored(
-        docs.select("doc_id", fold.alias("fold"), statistics_of(utf8(F.col("text"))).alias("x")), "quality-statistics"
+        in_small_batches(docs).select("doc_id", fold.alias("fold"), statistics_of(utf8(F.col("text"))).alias("x")), "quality-statistics"
     )
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("y"))
     learned = rows.where(F.col("fold").isin(*FOLDS)).join(known, "doc_id").select("x", "y", "fold")

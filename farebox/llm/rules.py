@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farebox.llm.common import free_name, utf8
+from farebox.llm.common import free_name, in_small_batches, utf8
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -138,7 +138,7 @@ def verdict(m: str) -> tuple[Column, Column]:
 
 def judge(docs: DataFrame) -> DataFrame:
     """Per document the measures, ``base_failed`` and ``kept``."""
-    judged = docs.select("doc_id", measures(F.col("text")).alias("m"))
+    judged = in_small_batches(docs).select("doc_id", measures(F.col("text")).alias("m"))
     base_failed, kept = verdict("m")
     return judged.select(
         "doc_id",
@@ -153,7 +153,7 @@ def judge(docs: DataFrame) -> DataFrame:
 def clean(docs: DataFrame) -> DataFrame:
     """The documents that pass, without the lines that failed; other columns stay as they are."""
     m = free_name(docs, "measures")
-    judged = docs.withColumn(m, measures(F.col("text"), clean=True))
+    judged = in_small_batches(docs).withColumn(m, measures(F.col("text"), clean=True))
     return judged.where(verdict(m)[1]).withColumn("text", F.col(f"{m}.cleaned").cast("string")).drop(m)
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox import workspace
-from farebox.llm.common import free_name, utf8
+from farebox.llm.common import free_name, in_small_batches, utf8
 from farebox.llm.components import components
 
 SHINGLE = 3
@@ -135,7 +135,7 @@ def groups(marked: DataFrame, key: str, segments: int = SEGMENTS, max_bits: int
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint and component_id of every document."""
-    marked = workspace.stored(docs.select("doc_id", fingerprints(F.col("text"), size).alias("fp")), "simhash-docs")
+    marked = workspace.stored(in_small_batches(docs).select("doc_id", fingerprints(F.col("text"), size).alias("fp")), "simhash-docs")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return marked.join(groups(marked, "doc_id", max_bits=max_bits), "fp").select(
         "doc_id", hexed.alias("fingerprint"), "component_id"
@@ -149,7 +149,7 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, max_bits: int = MAX_BITS) ->
     an executor. Of equal doc_ids the first row stays; a known doc_id goes before a null.
     """
     at, fp = free_name(docs, "row"), free_name(docs, "print")
-    numbered = docs.withColumn(at, F.monotonically_increasing_id()).withColumn(fp, fingerprints(F.col("text"), size))
+    numbered = in_small_batches(docs).withColumn(at, F.monotonically_increasing_id()).withColumn(fp, fingerprints(F.col("text"), size))
     rows = workspace.stored(numbered, "simhash-rows")
     key = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", F.col(at).alias("row"))
     found = groups(rows.select(F.col(fp).alias("fp"), key.alias("key")), "key", max_bits=max_bits)

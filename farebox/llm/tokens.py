@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farebox.llm.common import in_small_batches
+
 CHUNK = 1 << 20
 LIMIT = 4096
 MOST_STATES = 200_000
@@ -213,7 +215,7 @@ def chunks_of(text: Column) -> Column:
 
 def count_tokens(docs: DataFrame, model_file: str, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
-    shared = docs.sparkSession.sparkContext.broadcast(Transducer.load(model_file))  # the size of the vocabulary
+    shared = in_small_batches(docs).sparkSession.sparkContext.broadcast(Transducer.load(model_file))  # the size of the vocabulary
 
     @F.pandas_udf(MAP)
     def mapped(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

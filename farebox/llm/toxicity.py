@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farebox import workspace
-from farebox.llm.common import utf8, vectorized
+from farebox.llm.common import in_small_batches, utf8, vectorized
 
 SPACE = 1 << 20  # hashed features
 CHOSEN = 4096  # of them kept by a model, by chi-squared
@@ -135,7 +135,7 @@ class Linear:
             curve = np.where(use, np.maximum(p * (1 - p), 1e-6), 0) / n
             step, rest = np.zeros_like(w), -slope
             along, size = rest.copy(), rest @ rest
-            for _ in range(GRADIENT_STEPS):
+            for _ in range(GRADIENT_STEPS if size > 1e-18 else 0):
                 bent = back(curve * forward(along)) + penalty * along + 1e-9 * along
                 reach = size / (along @ bent)
                 step += reach * along
@@ -246,7 +246,7 @@ def learn(docs: DataFrame, labels: DataFrame):
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, a chance per category and ``toxic`` (0 or 1) of every document."""
-    model = learn(docs, labels)
+    model = learn(in_small_batches(docs), labels)
     names = [f"p_{c}" for c in CHAIN]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # at most CHOSEN features per model
 
