@@ -174,3 +174,24 @@ def win_range_frame(t: Tables) -> DataFrame:
         .groupBy("event_id")
         .agg(F.sum(sign * F.col("n")).alias("events_1h"), F.round(F.sum(sign * F.col("total")), 4).alias("value_1h"))
     )
+
+
+@query(
+    "win_fill_gaps",
+    """WITH d AS (SELECT event_type, CAST(ts AS DATE) AS event_day, max(value) FILTER (value > 95) AS peak FROM events GROUP BY ALL)
+       SELECT event_type, event_day, peak, last_value(peak IGNORE NULLS) OVER w AS latest, first_value(peak IGNORE NULLS) OVER w AS earliest,
+         nth_value(peak, 2 IGNORE NULLS) OVER w AS second FROM d
+       WINDOW w AS (PARTITION BY event_type ORDER BY event_day ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def win_fill_gaps(t: Tables) -> DataFrame:
+    """Days without a peak take the latest one before; nulls are passed over. The window sees one row per day."""
+    days = t.events.groupBy("event_type", F.to_date("ts").alias("event_day")).agg(
+        F.max(F.when(F.col("value") > 95, F.col("value"))).alias("peak")
+    )
+    w = Window.partitionBy("event_type").orderBy("event_day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return days.select(
+        "*",
+        F.last("peak", ignorenulls=True).over(w).alias("latest"),
+        F.first("peak", ignorenulls=True).over(w).alias("earliest"),
+        F.nth_value("peak", 2, ignoreNulls=True).over(w).alias("second"),
+    )

@@ -131,6 +131,23 @@ def matrix_svd(t: Tables) -> DataFrame:
     return left.select("vec_id", F.round(energy, 6).alias("energy"), F.size("u").alias("factors"))
 
 
+@query(
+    "matrix_singular_values",
+    """WITH x AS (SELECT vec_id, unnest(embedding)::DOUBLE AS v, generate_subscripts(embedding, 1) AS i FROM embeddings),
+            g AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS v FROM x a JOIN x b USING (vec_id) GROUP BY ALL)
+       SELECT count(DISTINCT i) AS factors, round(sum(CASE WHEN i = j THEN v END), 4) AS sum_of_squares, round(sum(v * v), 2) AS sum_of_fourths FROM g""",
+)
+def matrix_singular_values(t: Tables) -> DataFrame:
+    """The singular values, by their second and fourth powers: the trace of the Gramian and of its square."""
+    _, lengths, _ = svd(t.embeddings, "embedding", 64, ["vec_id"])
+    values = t.spark.createDataFrame([(float(s),) for s in lengths], "s double")
+    return values.agg(
+        F.count("*").alias("factors"),
+        F.round(F.sum(F.col("s") ** 2), 4).alias("sum_of_squares"),
+        F.round(F.sum(F.col("s") ** 4), 2).alias("sum_of_fourths"),
+    )
+
+
 def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     """Product of two entry tables: join on the inner index, add up per cell."""
     inner = b.select(F.col("i").alias("k"), F.col("j"), F.col("value").alias("w"))

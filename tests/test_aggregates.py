@@ -62,3 +62,20 @@ def test_clean_up(spark, monkeypatch):
     kept = workspace.stored(spark.range(10), "cleaned")
     assert kept.count() == 10
     assert workspace.clean_up(spark) == 1 and workspace.clean_up(spark) == 0
+
+
+def test_quantile_sketch_is_close(tables):
+    points = [0.1, 0.25, 0.5, 0.9]
+    for r in aggregates.quantiles(tables.lineitem, "l_returnflag", "l_extendedprice", points).collect():
+        price, n = tables.lineitem.filter(F.col("l_returnflag") == r.l_returnflag).select("l_extendedprice"), None
+        n = price.count()
+        for p, q in zip(points, r.q):
+            upto = price.filter(F.col("l_extendedprice") <= q).count() / n
+            below = price.filter(F.col("l_extendedprice") < q).count() / n
+            assert below < p + 0.001 and upto > p - 0.001
+
+
+def test_distinct_sketch_is_close(tables):
+    rough, fine = F.approx_count_distinct("l_orderkey"), F.approx_count_distinct("l_orderkey", rsd=0.01)
+    for r in tables.lineitem.groupBy("l_returnflag").agg(F.count_distinct("l_orderkey").alias("n"), rough.alias("rough"), fine.alias("fine")).collect():
+        assert abs(r.rough - r.n) < 0.2 * r.n and abs(r.fine - r.n) < 0.04 * r.n
