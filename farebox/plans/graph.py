@@ -70,7 +70,7 @@ def rank_round(links: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def pagerank(edges: DataFrame, rounds: int) -> DataFrame:
     """Ranks after a fixed number of rounds, starting from 1 everywhere."""
-    links = workspace.stored(with_out_degree(edges), "links")
+    links = workspace.bucketed(with_out_degree(edges), "src", "links")
     ranks = links.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for i in range(1, rounds + 1):
         ranks = rank_round(links, ranks)
@@ -85,7 +85,7 @@ def pagerank_until(edges: DataFrame, tolerance: float, max_rounds: int = 1000) -
     Raises if ``max_rounds`` are not enough: changes shrink by the damping with every round, so a tolerance that
     floating point can tell is met long before.
     """
-    links = workspace.stored(with_out_degree(edges), "links")
+    links = workspace.bucketed(with_out_degree(edges), "src", "links")
     ids = links.select(F.col("src").alias("id")).union(links.select("dst")).distinct()
     base = F.lit(1 - DAMPING)
     ranks = workspace.cut(ids.withColumn("rank", base))
@@ -133,8 +133,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
     """All (src, dst) with a path between them; only the newest paths are extended each round."""
-    base = edges.select("src", "dst").distinct()
-    paths = fresh = workspace.cut(base)
+    base = workspace.bucketed(edges.select("src", "dst").distinct(), "src", "steps")
+    paths = fresh = base
     step = base.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
     while True:
         longer = fresh.join(step, fresh["dst"] == step["mid"]).select("src", F.col("far").alias("dst")).distinct()
@@ -151,6 +151,7 @@ def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     Only vertices whose distance fell in the last round send messages.
     """
     spark = edges.sparkSession
+    edges = workspace.bucketed(edges.select("src", "dst", "weight"), "src", "weighted")
     moved = spark.range(source, source + 1).select("id", F.lit(0.0).alias("distance"))
     known = moved
     while True:

@@ -45,8 +45,10 @@ def io_table_roundtrip(t: Tables) -> DataFrame:
 def io_bucketed_write(t: Tables) -> DataFrame:
     """Two tables bucketed alike: the join and the group-by on the bucket key move no rows."""
     buckets = parts_of(t.orders)
-    orders = save_table(t.orders.write.bucketBy(buckets, "o_orderkey").sortBy("o_orderkey"), t, "bucketed_orders")
-    lines = save_table(t.lineitem.write.bucketBy(buckets, "l_orderkey").sortBy("l_orderkey"), t, "bucketed_lines")
+    # Dealt out by the key first: each task then writes one file, not one per bucket.
+    dealt = lambda df, key: df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+    orders = save_table(dealt(t.orders, "o_orderkey"), t, "bucketed_orders")
+    lines = save_table(dealt(t.lineitem, "l_orderkey"), t, "bucketed_lines")
     joined = t.spark.table(orders).join(t.spark.table(lines).hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_totalprice").agg(
         F.count("*").alias("lines"), F.round(F.sum("l_quantity"), 2).alias("qty")

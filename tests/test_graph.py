@@ -5,6 +5,7 @@ import random
 
 import pytest
 
+from farebox import workspace
 from farebox.plans import graph, matrix
 
 
@@ -102,3 +103,20 @@ def test_ranks_that_do_not_settle_are_an_error(spark):
     edges = edges_of(spark, [(0, 1), (1, 2), (2, 0), (2, 1)])
     with pytest.raises(RuntimeError):
         graph.pagerank_until(edges, 1e-9, max_rounds=2)
+
+
+def test_a_round_moves_no_edges(spark):
+    """The table of edges is read where it lies, bucketed by source; only messages are shuffled."""
+    edges = spark.range(300).selectExpr("id AS src", "id % 17 AS dst")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = workspace.bucketed(graph.with_out_degree(edges), "src", "links")
+        ranks = workspace.stored(spark.range(300).selectExpr("id", "1.0D AS rank"), "ranks")
+        plan = graph.rank_round(links, ranks)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 2  # ranks to the edges, messages to their vertices
+    edge_side = plan[: plan.index("Bucketed: true")]
+    assert edge_side.rstrip().splitlines()[-1].count("FileScan") == 1
+    assert "Bucketed: true" in plan
