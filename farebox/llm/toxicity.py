@@ -215,25 +215,45 @@ class Scorer:
         return chances
 
 
+def telling_features(rows: DataFrame) -> np.ndarray:
+    """Of the sample's features those that go with some category most, by chi-squared, with room for each fold's choice."""
+    marks = [F.col("kinds")[k] & (F.col("toxic") == 1) for k in range(len(SEEDS))] + [F.col("toxic") == 1]
+    names = [f"y{k}" for k in range(len(marks))]
+    marked = rows.select("x", *(m.cast("int").alias(n) for m, n in zip(marks, names)))
+    shares = marked.agg(*(F.avg(n) for n in names)).first()
+    seen = marked.select(F.explode("x").alias("f"), *names).groupBy("f").agg(F.count(F.lit(1)).alias("n"), *(F.sum(n).alias(n) for n in names))
+    scores = [(F.col(c) - F.col("n") * s) ** 2 / (F.col("n") * s * (1 - s)) for c, s in zip(names, shares) if 0 < s < 1]
+    best = F.greatest(*scores, F.lit(0.0), F.lit(0.0)).alias("score")
+    ranked = seen.where("n >= 3").select("f", best).where(F.col("score") > LEAST_SCORE / 2)
+    return np.sort(ranked.orderBy(F.desc("score"), "f").limit(len(CHAIN) * CHOSEN).toPandas()["f"].to_numpy(np.int32))
+
+
 def learn(docs: DataFrame, labels: DataFrame):
     """The fitted scorer, or the share of toxic labels where there is nothing to tell apart."""
     known = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
-    joined = docs.select("doc_id", "text").where(fold != HELD_OUT).join(known, "doc_id")
-    ids = joined.select("doc_id", "toxic")
+    ids = docs.select("doc_id").where(fold != HELD_OUT).join(known, "doc_id")
     n, toxic = ids.agg(F.count(F.lit(1)), F.sum("toxic")).first()
     if not n or toxic in (0, n):
         return float(toxic / n) if n else 0.0
     draw = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
     picked = [ids.where(F.col("toxic") == k).distinct().orderBy(*draw).limit(m) for k, m in ((1, MOST_TOXIC), (0, MOST_CLEAN))]
-    sample = workspace.stored(picked[0].union(picked[1]).select("doc_id"), "toxicity-sample")
+    sample = workspace.stored(picked[0].union(picked[1]), "toxicity-sample")
     text = utf8(F.col("text"))
-    rows = (
-        joined.join(sample, "doc_id")
-        .select("doc_id", "toxic", features(text).alias("x"), seeded(text).alias("kinds"), F.xxhash64("text").alias("tie"))
-        .toPandas()  # bounded by MOST_TOXIC + MOST_CLEAN, as numbers
-        .sort_values(["doc_id", "tie"])
+    drawn_rows = workspace.stored(
+        docs.select("doc_id", "text").join(sample, "doc_id").select(
+            "doc_id", "toxic", features(text).alias("x"), seeded(text).alias("kinds"), F.xxhash64("text").alias("tie")
+        ),
+        "toxicity-rows",
     )
+    telling = telling_features(drawn_rows)
+
+    @F.pandas_udf("array<int>")
+    def told(xs: pd.Series) -> pd.Series:
+        return pd.Series([x[np.isin(x, telling)] for x in xs])
+
+    # Bounded by MOST_TOXIC + MOST_CLEAN rows of the telling features.
+    rows = drawn_rows.select("doc_id", "toxic", told("x").alias("x"), "kinds", "tie").toPandas().sort_values(["doc_id", "tie"])
     y = rows["toxic"].to_numpy(float)
     kinds = np.array([np.asarray(k, bool) for k in rows["kinds"]]).reshape(len(rows), len(SEEDS)) * y[:, None]
     folds = np.array([xxhash.xxh3_64_intdigest(str(d)) % FOLDS for d in rows["doc_id"]])
