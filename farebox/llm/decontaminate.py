@@ -28,7 +28,7 @@ from farebox.llm.common import in_small_batches, utf8, vectorized
 
 WINDOW = 13
 MIN_HIT_PCT = 5
-BLOCK_WINDOWS = 1_000_000
+BLOCK_WINDOWS = 250_000
 
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
 _BASE = 0x9E3779B97F4A7C15  # an odd 64-bit number, for the rolling sum
@@ -96,13 +96,14 @@ class Block:
 def blocks_of(benchmark: DataFrame, size: int = WINDOW, most: int = BLOCK_WINDOWS):
     """Blocks of at most ``most`` windows (one item may go beyond); the items pass by one at a time."""
     held: dict[tuple[bytes, ...], set[str]] = defaultdict(set)
+    once: dict[bytes, bytes] = {}  # one object per word, however many windows hold it
     items = benchmark.select(F.col("item_id").cast("string").alias("id"), utf8(F.col("text")).alias("text"))
     for row in items.toLocalIterator():
-        for window in windows_of(words_of(bytes(row.text)), size):
+        for window in windows_of([once.setdefault(w, w) for w in words_of(bytes(row.text))], size):
             held[window].update([row.id] if row.id is not None else [])
         if len(held) >= most:
             yield Block(held)
-            held = defaultdict(set)
+            held, once = defaultdict(set), {}
     yield Block(held)
 
 
