@@ -31,7 +31,7 @@ from farebox.llm.common import in_small_batches, utf8, vectorized
 SPACE = 1 << 20  # hashed features
 CHOSEN = 4096  # of them kept by a model, by chi-squared
 STARTS = (4, 5, 6)  # letters at the start of a word that are features as well
-MOST_TOXIC, MOST_CLEAN = 4_000, 6_000
+MOST_TOXIC, MOST_CLEAN = 3_000, 5_000
 FOLDS = 3
 HELD_OUT = 2
 PENALTY = 1e-4
@@ -78,7 +78,7 @@ class Rows:
     def __init__(self, rows: list[np.ndarray]):
         self.sizes = np.array([len(r) for r in rows], np.int64)
         self.flat = np.concatenate(rows) if rows else np.zeros(0, np.int32)
-        self.owner = np.repeat(np.arange(len(rows)), self.sizes)
+        self.owner = np.repeat(np.arange(len(rows), dtype=np.int32), self.sizes)
 
     def chosen(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row, place) of the features that have a place (others: -1)."""
@@ -224,7 +224,7 @@ def telling_features(rows: DataFrame) -> np.ndarray:
     seen = marked.select(F.explode("x").alias("f"), *names).groupBy("f").agg(F.count(F.lit(1)).alias("n"), *(F.sum(n).alias(n) for n in names))
     scores = [(F.col(c) - F.col("n") * s) ** 2 / (F.col("n") * s * (1 - s)) for c, s in zip(names, shares) if 0 < s < 1]
     best = F.greatest(*scores, F.lit(0.0), F.lit(0.0)).alias("score")
-    ranked = seen.where("n >= 3").select("f", best).where(F.col("score") > LEAST_SCORE / 2)
+    ranked = seen.where("n >= 3").select("f", best).where(F.col("score") > LEAST_SCORE)
     return np.sort(ranked.orderBy(F.desc("score"), "f").limit(len(CHAIN) * CHOSEN).toPandas()["f"].to_numpy(np.int32))
 
 
