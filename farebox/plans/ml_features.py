@@ -202,12 +202,18 @@ def ml_selection(t: Tables) -> DataFrame:
     )
 
 
+#: A pair of Jaccard similarity J meets in one of k tables with chance 1 - (1-J)^k: 0.99 at the least similarity asked for, 0.1.
+MINHASH_TABLES = 44
+#: Buckets meet at 0, so two short vectors part in a table by the angle between them: at worst in half of the tables.
+PROJECTION_TABLES = 10
+
+
 @query("ml_lsh")
 def ml_lsh(t: Tables) -> DataFrame:
     """Near neighbours by hashing: texts close to benchmark items, and vectors close to class means.
 
     One side of each join is a table of distinct items, and exact copies of a text count
-    as one text, so a large group of copies is never paired with itself.
+    as one text, so a large group of copies is never paired with itself. There are enough tables for the weakest pairs.
     """
     texts = t.documents.groupBy("text").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"))
     items = t.benchmark.filter(r"text rlike '\\S'").groupBy("text").agg(F.min("item_id").alias("id"))
@@ -219,7 +225,7 @@ def ml_lsh(t: Tables) -> DataFrame:
     ).fit(items)
     # A text without words has no hash and is near to none.
     texts = workspace.stored(prepare.transform(texts.filter(r"text rlike '\\S'")).select("id", "copies", "bag"), "bags")
-    minhash = mf.MinHashLSH(inputCol="bag", outputCol="hashes", numHashTables=4, seed=3).fit(texts)
+    minhash = mf.MinHashLSH(inputCol="bag", outputCol="hashes", numHashTables=MINHASH_TABLES, seed=3).fit(texts)
     pairs = minhash.approxSimilarityJoin(texts, prepare.transform(items).select("id", "bag"), 0.9, distCol="distance")
     near_texts = pairs.select(
         F.lit("text").alias("kind"), F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("item"), "distance"
@@ -228,7 +234,7 @@ def ml_lsh(t: Tables) -> DataFrame:
     means = t.embeddings.select("label", F.posexplode("embedding").alias("i", "x")).groupBy("label", "i").agg(F.avg("x").alias("x"))
     means = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "x"))).alias("m"))  # 64 entries per class
     means = means.select(F.col("label").cast("bigint").alias("id"), array_to_vector(F.transform("m", lambda e: e["x"])).alias("v"))
-    projection = mf.BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=2.0, numHashTables=3, seed=3).fit(rows)
+    projection = mf.BucketedRandomProjectionLSH(inputCol="v", outputCol="hashes", bucketLength=2.0, numHashTables=PROJECTION_TABLES, seed=3).fit(rows)
     near_means = projection.approxSimilarityJoin(rows, means, 1.0, distCol="distance").select(
         F.lit("vector"), F.col("datasetA.id"), F.col("datasetB.id"), "distance"
     )

@@ -1,5 +1,6 @@
 """Models: above their floor, the same with the same seed, and near-duplicates against brute force."""
 
+import numpy as np
 import pytest
 
 import __spark_entry__ as entry
@@ -37,6 +38,25 @@ def test_near_texts_have_the_distance_of_their_word_sets(spark, tables):
         assert r.distance <= 0.9
 
 
+def test_near_pairs_are_found(spark, tables):
+    """Against all pairs: of the weakest pairs asked for (similarity 0.1) few may be lost, of the near vectors none."""
+    rows = QUERIES["ml_lsh"](spark, SF).collect()
+    texts, items = {}, {}
+    for kept, table, key in ((texts, tables.documents, "doc_id"), (items, tables.benchmark, "item_id")):
+        for r in table.collect():
+            if r.text and r.text.split():
+                kept[r.text] = min(kept.get(r.text, r[key]), r[key])
+    bags = [[(key, set(text.lower().split())) for text, key in kept.items()] for kept in (texts, items)]
+    near = {(i, j) for i, a in bags[0] for j, b in bags[1] if len(a & b) > 0.1 * len(a | b)}
+    found = {(r.id, r.item) for r in rows if r.kind == "text"}
+    assert len(near) >= 15 and len(near & found) >= 0.95 * len(near)
+    vectors = [(r.vec_id, r.label, np.array(r.embedding, float)) for r in tables.embeddings.collect()]
+    means = {c: np.mean([v for _, label, v in vectors if label == c], axis=0) for c in {label for _, label, _ in vectors}}
+    near = {(i, c) for i, _, v in vectors for c, m in means.items() if np.linalg.norm(v - m) < 1}
+    found = {(r.id, r.item) for r in rows if r.kind == "vector"}
+    assert near and len(near & found) >= 0.99 * len(near)
+
+
 def test_areas_of_a_perfect_and_a_useless_score(spark):
     perfect = spark.createDataFrame([(float(i), int(i >= 5)) for i in range(10)], "score double, label int")
     row = metrics.roc_area(perfect).first()
