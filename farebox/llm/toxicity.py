@@ -11,7 +11,7 @@ tasks, so the sample is small numbers when it comes together. Rows whose crc32(d
 learned from. Every text is scored whole, in one pass without a shuffle.
 
 Defined cases: null and empty texts have no words and get the chances of an empty text; null labels are ignored, and of
-repeated labels the highest counts; documents that share a doc_id share its label; without toxic labels, or with none
+repeated labels the highest counts; documents that share a doc_id share its label, and one of them is learned from; without toxic labels, or with none
 but toxic ones, chances are the share of toxic labels (0 without labels); an empty table gives no rows.
 """
 
@@ -239,12 +239,11 @@ def learn(docs: DataFrame, labels: DataFrame):
     draw = [F.xxhash64(F.lit(11), "doc_id"), F.col("doc_id")]
     picked = [ids.where(F.col("toxic") == k).distinct().orderBy(*draw).limit(m) for k, m in ((1, MOST_TOXIC), (0, MOST_CLEAN))]
     sample = workspace.stored(picked[0].union(picked[1]), "toxicity-sample")
-    text = utf8(F.col("text"))
+    # Documents may share a doc_id: one text of each is learned from, combined before the shuffle.
+    texts = docs.select("doc_id", F.struct(F.xxhash64("text"), utf8(F.col("text")).alias("text")).alias("least"))
+    drawn = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(F.min("least")["text"].alias("text"))
     drawn_rows = workspace.stored(
-        docs.select("doc_id", "text").join(sample, "doc_id").select(
-            "doc_id", "toxic", features(text).alias("x"), seeded(text).alias("kinds"), F.xxhash64("text").alias("tie")
-        ),
-        "toxicity-rows",
+        drawn.select("doc_id", "toxic", features("text").alias("x"), seeded("text").alias("kinds")), "toxicity-rows"
     )
     telling = telling_features(drawn_rows)
 
@@ -253,7 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame):
         return pd.Series([x[np.isin(x, telling)] for x in xs])
 
     # Bounded by MOST_TOXIC + MOST_CLEAN rows of the telling features.
-    rows = drawn_rows.select("doc_id", "toxic", told("x").alias("x"), "kinds", "tie").toPandas().sort_values(["doc_id", "tie"])
+    rows = drawn_rows.select("doc_id", "toxic", told("x").alias("x"), "kinds").toPandas().sort_values("doc_id")
     y = rows["toxic"].to_numpy(float)
     kinds = np.array([np.asarray(k, bool) for k in rows["kinds"]]).reshape(len(rows), len(SEEDS)) * y[:, None]
     folds = np.array([xxhash.xxh3_64_intdigest(str(d)) % FOLDS for d in rows["doc_id"]])

@@ -86,6 +86,18 @@ def test_toxicity(spark, medium, labels):
     assert np.mean([r.toxic == truth[r.doc_id] for r in test]) > 0.95
 
 
+def test_a_repeated_document_is_learned_from_once(spark, monkeypatch):
+    """However many rows share a doc_id, the driver gets one of them."""
+    sizes, fit = [], toxicity.fit_chain
+    monkeypatch.setattr(toxicity, "fit_chain", lambda rows, *a: sizes.append(len(rows.sizes)) or fit(rows, *a))
+    ids = [i for i in range(100) if not held_out(i)]
+    docs = [(i, f"text {i} {'idiot' if i % 3 == 0 else 'fine'}") for i in ids] + [(ids[0], f"copy {k}") for k in range(500)]
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i in ids], "doc_id long, toxic int")
+    rows = toxicity.classify(spark.createDataFrame(docs, "doc_id long, text string"), marks).collect()
+    assert len(rows) == len(docs)
+    assert sizes == [len(ids)]
+
+
 def test_later_models_see_earlier_chances():
     """A category that is another one's copy is told from the chance of the first, out of fold."""
     draw = np.random.default_rng(2)
