@@ -1,8 +1,8 @@
-"""The ten text operators as queries over the given tables, and their SQL twins."""
+"""The text and vector operators as queries over the given tables, and their SQL twins."""
 
 from __future__ import annotations
 
-from farebox.llm import decontaminate, lines, mixing, pii, quality, rules, simhash, tokens, toxicity, urls
+from farebox.llm import decontaminate, lines, mixing, negatives, pii, quality, rules, simhash, tokens, toxicity, urls, whitening
 from farebox.tables import Tables
 
 QUERIES: dict = {}
@@ -71,3 +71,13 @@ def op9(t: Tables):
 @query("op10_pii")
 def op10(t: Tables):
     return pii.judge(t.documents)
+
+
+@query("op11_hard_negatives", negatives.ORACLE)
+def op11(t: Tables):
+    return negatives.judge(t.embeddings)
+
+
+@query("op13_whitening")
+def op13(t: Tables):
+    return whitening.judge(t.embeddings)
