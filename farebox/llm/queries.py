@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from farebox.llm import decontaminate, lines, mixing, negatives, pii, quality, rules, simhash, tokens, toxicity, urls, whitening
+from farebox.llm import decontaminate, lines, mixing, negatives, pieces, pii, quality, rules, simhash, tokens, toxicity, urls, whitening
 from farebox.tables import Tables
 
 QUERIES: dict = {}
@@ -78,6 +78,13 @@ def op11(t: Tables):
     return negatives.judge(t.embeddings)
 
 
+@query("op12_sentencepiece")
+def op12(t: Tables):
+    import public_tokenizers
+
+    return pieces.judge(t.documents, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("op13_whitening")
 def op13(t: Tables):
     return whitening.judge(t.embeddings)
