@@ -228,12 +228,10 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = LIMIT) -> DataFr
         return pd.Series([shared.value.scan([tuple(m["m"][c] for c in order) for m in maps]) for maps in lists], dtype=int)
 
     text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        F.monotonically_increasing_id().alias("row"),
-        "doc_id",
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        F.posexplode(chunks_of(text)).alias("k", "chunk"),
-    )
+    # Numbered below the explode: in one projection with it, every chunk would get a number of its own.
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
+    size = F.octet_length("text").cast("long").alias("n_bytes")
+    rows = numbered.select("row", "doc_id", size, F.posexplode(chunks_of(F.col("text"))).alias("k", "chunk"))
     maps = rows.select("row", "doc_id", "n_bytes", "k", mapped("chunk").alias("m"))
     whole = maps.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"),

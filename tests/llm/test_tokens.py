@@ -59,6 +59,16 @@ def test_odd_rows(sp, odd, monkeypatch):
     assert sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in rows) == texts
 
 
+def test_texts_of_many_chunks(spark, sp):
+    """Texts of 3 MiB by the default chunk, with and without spaces, give one row each."""
+    assert tokens.CHUNK == 1 << 20
+    texts = ["one two, three " * 210_000, "ab" * 1_600_000, "日本語" * 400_000, "x y" + "=" * 3_200_000, "\n" * 3_200_000, "a"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] * 2, "doc_id bigint, text string").repartition(4)
+    got = sorted(map(tuple, tokens.count_tokens(docs, MODEL).collect()))
+    want = [(k, len(t.encode()), n, n > 4096) for k, t in enumerate(texts) for n in [len(sp.encode(t))] * 2]
+    assert got == want
+
+
 def test_empty_table(no_docs):
     assert tokens.count_tokens(no_docs, MODEL).count() == 0
 
