@@ -73,6 +73,65 @@ def stream_kmeans_refit(t: Tables) -> DataFrame:
     return run.last()
 
 
+#: A step of size ``STEP / sqrt(i)`` for the i-th of ``ROUNDS`` passes over a batch.
+STEP, ROUNDS = 2.0, 4
+WEIGHTS = ("w0", "w1", "w2")
+
+
+def gradient_steps(rows: DataFrame, weights: tuple[float, ...], rounds: int = ROUNDS, step: float = STEP) -> tuple[float, ...]:
+    """Weights after ``rounds`` gradient steps on ``rows`` (x1, x2, y), each from sums over all of them."""
+    for i in range(1, rounds + 1):
+        at = F.lit(weights[0]) + F.lit(weights[1]) * F.col("x1") + F.lit(weights[2]) * F.col("x2")
+        miss = 1 / (1 + F.exp(-at)) - F.col("y")
+        sums = rows.agg(F.count("*"), F.sum(miss), F.sum(miss * F.col("x1")), F.sum(miss * F.col("x2"))).first()
+        if not sums[0]:
+            return weights
+        weights = tuple(w - step / i**0.5 * s / sums[0] for w, s in zip(weights, sums[1:]))
+    return weights
+
+
+def _steps_in_sql() -> str:
+    """The same steps as common table expressions, one for each."""
+    parts = [
+        """rows AS (SELECT CAST(l_orderkey % 2 AS INT) AS batch, l_extendedprice / 50000 AS x1, l_discount AS x2,
+             CASE WHEN l_extendedprice / 50000 * (1 - l_discount) > 1 THEN 1.0 ELSE 0.0 END AS y FROM lineitem)""",
+        "v0 AS (SELECT 0.0::DOUBLE AS w0, 0.0::DOUBLE AS w1, 0.0::DOUBLE AS w2)",
+    ]
+    for k in range(2 * ROUNDS):
+        size = STEP / (k % ROUNDS + 1) ** 0.5
+        parts.append(
+            f"""v{k + 1} AS (SELECT any_value(w0) - {size!r}::DOUBLE * sum(m) / count(*) AS w0, any_value(w1) - {size!r}::DOUBLE * sum(m * x1) / count(*) AS w1,
+              any_value(w2) - {size!r}::DOUBLE * sum(m * x2) / count(*) AS w2
+              FROM (SELECT *, 1 / (1 + exp(-(w0 + w1 * x1 + w2 * x2))) - y AS m FROM rows, v{k} WHERE batch = {k // ROUNDS}))"""
+        )
+    shown = ", ".join(f"round({w}, 8) AS {w}" for w in WEIGHTS)
+    ends = " UNION ALL ".join(f"SELECT {b} AS batch, {shown} FROM v{(b + 1) * ROUNDS}" for b in range(2))
+    return f"WITH {', '.join(parts)} {ends}"
+
+
+@query("stream_logistic_steps", _steps_in_sql())
+def stream_logistic_steps(t: Tables) -> DataFrame:
+    """A logistic model that takes a few gradient steps on each batch, from the weights of the batch before.
+
+    The weights are written as the output of the batch they belong to. A batch that runs again starts from the one
+    before, so it does not step twice, and none reads rows of the past.
+    """
+    feed, run = Feed(t, SCHEMAS["lineitem"]), Run(t, "stream-logistic-steps")
+
+    def learn(batch: DataFrame, epoch: int) -> DataFrame:
+        start = (0.0,) * len(WEIGHTS)
+        if epoch:
+            start = tuple(t.spark.read.parquet(f"{run.out}/batch={epoch - 1}").select(*WEIGHTS).first())
+        price = F.col("l_extendedprice") / 50000
+        dear = (price * (1 - F.col("l_discount")) > 1).cast("double")
+        rows = batch.select(price.alias("x1"), F.col("l_discount").alias("x2"), dear.alias("y"))
+        return t.spark.createDataFrame([gradient_steps(rows, start)], "w0 double, w1 double, w2 double")
+
+    for part in PARTS:
+        run.per_batch(feed.add(t.lineitem.filter(part)).read(), "append", learn)
+    return run.batches().select("batch", *(F.round(w, 8).alias(w) for w in WEIGHTS))
+
+
 @query("stream_logistic_refit")
 def stream_logistic_refit(t: Tables) -> DataFrame:
     """A logistic model fitted anew on all rows seen so far, with its quality per batch."""
