@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox.registry import query
-from farebox.scale import running_sum
+from farebox.scale import EXACT, running_sum
 from farebox.tables import Tables
 
 
@@ -126,25 +126,34 @@ def join_range_totals(t: Tables) -> DataFrame:
     """Events within six hours of a signup of the same user, with no pair ever made.
 
     The total inside a spell is the running total at its end less that at its start, so
-    the work is linear in events and spells even where one user has most of both.
+    the work is linear in events and spells even where one user has most of both. Totals are decimals, so that their
+    differences lose no digits; a spell without a known value has no total.
     """
 
-    def mark(kind: int, at, one: int, value) -> Column:
-        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(one).alias("one"), value.alias("value"))
+    def mark(kind: int, at, one: int, known, amount) -> Column:
+        return F.struct(at.alias("at"), F.lit(kind).alias("kind"), F.lit(one).alias("one"), known.alias("known"), amount.alias("amount"))
 
     # An edge sorts before the events of its own instant: the start counts them, the end does not.
-    ts, none = F.col("ts"), F.lit(0.0)
-    event, edges = mark(2, ts, 1, F.col("value")), [mark(0, ts, 0, none), mark(1, ts + F.expr("INTERVAL 6 HOURS"), 0, none)]
+    ts, zero, none = F.col("ts"), F.lit(0), F.lit(None).cast(EXACT)
+    event = mark(2, ts, 1, F.col("value").isNotNull().cast("int"), F.col("value").cast(EXACT))
+    edges = [mark(0, ts, 0, zero, none), mark(1, ts + F.expr("INTERVAL 6 HOURS"), 0, zero, none)]
     of_row = F.when(F.col("event_type") == "signup", F.array(event, *edges)).otherwise(F.array(event))
     marks = t.events.select("user_id", F.col("event_id").alias("id"), F.inline(of_row))
-    totals = running_sum(marks, ["user_id"], ["at", "kind", "id"], ["one", "value"], ["n", "total"])
-    sign = F.when(F.col("kind") == 1, 1).otherwise(-1)
-    return (
+    totals = running_sum(marks, ["user_id"], ["at", "kind", "id"], ["one", "known", "amount"], ["n", "n_known", "total"])
+    ends = F.col("kind") == 1
+    sign = F.when(ends, 1).otherwise(-1)
+    summed = (
         totals.filter("kind < 2")
         .groupBy(F.col("id").alias("spell"))
-        .agg(F.sum(sign * F.col("n")).alias("events_inside"), F.round(F.sum(sign * F.col("total")), 2).alias("value_inside"))
+        .agg(
+            F.sum(sign * F.col("n")).alias("events_inside"),
+            F.sum(sign * F.col("n_known")).alias("known"),
+            F.sum(F.when(ends, F.col("total")).otherwise(-F.col("total"))).alias("total"),
+        )
         .filter("events_inside > 0")
     )
+    inside = F.when(F.col("known") > 0, F.round(F.col("total").cast("double"), 2))
+    return summed.select("spell", "events_inside", inside.alias("value_inside"))
 
 
 @query(

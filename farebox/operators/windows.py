@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox.registry import query
-from farebox.scale import in_blocks, number_rows, running_sum
+from farebox.scale import EXACT, in_blocks, number_rows, running_sum
 from farebox.tables import Tables
 
 
@@ -154,26 +154,39 @@ def win_rows_frame(t: Tables) -> DataFrame:
        WINDOW w AS (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW)""",
 )
 def win_range_frame(t: Tables) -> DataFrame:
-    """Events and value of the same user in the hour up to each event.
+    """Events and value of the same user in the hour up to each event."""
+    return trailing_totals(t.events, "user_id", "ts", "event_id", "value", 3_600_000_000).select(
+        "event_id", F.col("n").alias("events_1h"), F.round("total", 4).alias("value_1h")
+    )
+
+
+def trailing_totals(rows: DataFrame, key: str, ts: str, unique: str, value: str, reach: int) -> DataFrame:
+    """(unique, n, total): rows of the same key in the ``reach`` microseconds up to each row, and the sum of their values.
 
-    Running totals at the event less those at the start of its hour: linear, however many events the hour holds.
-    Among marks of one instant, starts of hours come first, then events, then the ends that count them.
+    Running totals at the row less those at the start of its frame: linear, however many rows a frame holds. The totals
+    are decimals, so their differences lose no digits however long the key's history is; values are taken to 12 places
+    and may be up to 1e26 in sum. A frame without a known value has no total. Among marks of one instant, starts of
+    frames come first, then rows, then the ends that count them.
     """
-    at = F.unix_micros("ts")
+    at = F.unix_micros(ts)
 
-    def mark(kind: int, when: Column, one: int, value: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), when.alias("at"), F.lit(one).alias("one"), value.alias("value"))
+    def mark(kind: int, when: Column, one: int, known: Column, amount: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), when.alias("at"), F.lit(one).alias("one"), known.alias("known"), amount.alias("amount"))
 
-    none = F.lit(0.0)
-    marks = F.array(mark(0, at - 3_600_000_000, 0, none), mark(1, at, 1, F.col("value")), mark(2, at, 0, none))
-    rows = t.events.select("event_id", "user_id", F.inline(marks))
-    totals = running_sum(rows, ["user_id"], ["at", "kind", "event_id"], ["one", "value"], ["n", "total"])
-    sign = F.when(F.col("kind") == 2, 1).otherwise(-1)
-    return (
-        totals.filter("kind <> 1")
-        .groupBy("event_id")
-        .agg(F.sum(sign * F.col("n")).alias("events_1h"), F.round(F.sum(sign * F.col("total")), 4).alias("value_1h"))
+    zero, none = F.lit(0), F.lit(None).cast(EXACT)
+    marks = F.array(
+        mark(0, at - reach, 0, zero, none),
+        mark(1, at, 1, F.col(value).isNotNull().cast("int"), F.col(value).cast(EXACT)),
+        mark(2, at, 0, zero, none),
+    )
+    spread = rows.select(F.col(unique).alias("_id"), F.col(key).alias("_key"), F.inline(marks))
+    totals = running_sum(spread, ["_key"], ["at", "kind", "_id"], ["one", "known", "amount"], ["n", "n_known", "total"])
+    ends = F.col("kind") == 2
+    sign = F.when(ends, 1).otherwise(-1)
+    summed = totals.filter("kind <> 1").groupBy("_id").agg(
+        F.sum(sign * F.col("n")).alias("n"), F.sum(sign * F.col("n_known")).alias("known"), F.sum(F.when(ends, F.col("total")).otherwise(-F.col("total"))).alias("total")
     )
+    return summed.select(F.col("_id").alias(unique), "n", F.when(F.col("known") > 0, F.col("total").cast("double")).alias("total"))
 
 
 @query(

@@ -7,10 +7,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from farebox import workspace
 
 ROWS_PER_CHUNK = 10_000
+#: For running totals whose differences are wanted: doubles lose the digits of small values as a total grows.
+EXACT = "decimal(38,12)"
 
 
 def parts_of(df: DataFrame) -> int:
@@ -120,6 +123,9 @@ def running_sum(
 
     def total(n: str) -> Column:
         offset, here = F.col(f"_offset_{n}"), F.col(f"_local_{n}")
+        kind = local.schema[f"_local_{n}"].dataType
+        if isinstance(kind, DecimalType):  # one digit less before the point, or the sum would have one place less
+            offset, here = (c.cast(DecimalType(37, kind.scale)) for c in (offset, here))
         return F.coalesce(offset + here, offset, here).alias(n)
 
     return joined.select(*df.columns, *(total(n) for n in names))
