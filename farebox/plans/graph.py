@@ -1,12 +1,15 @@
 """Graphs as two tables, ``vertices(id)`` and ``edges(src, dst)``.
 
 Loops cut their lineage by checkpoint every few rounds and stop on one number read per
-round. Messages are combined before they move, and joins on a busy vertex are between
-its edges and a single row, which Spark splits when it finds the key skewed.
+round. Messages are combined before they move. Edges are dealt out once, to buckets that
+later rounds read where they lie; the edges of a busy vertex are cut into pieces, and
+what the vertex sends goes to each of them, so none is one task's work.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,8 @@ from farebox.tables import Tables
 
 DAMPING = 0.85
 CUT_EVERY = 3
+#: Edges of a vertex that one task may get together.
+PIECE = 100_000
 
 
 # --- graphs taken from the tables ---------------------------------------------------
@@ -58,10 +63,32 @@ def with_out_degree(edges: DataFrame) -> DataFrame:
     return edges.join(degrees, "src")
 
 
-def rank_round(links: DataFrame, ranks: DataFrame) -> DataFrame:
+def dealt_out(edges: DataFrame, label: str, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``edges`` in buckets by (src, piece), and (src, pieces) of the vertices whose edges are cut.
+
+    A vertex has a piece for every ``most`` (``PIECE``) edges; the cut vertices are fewer than edges / ``most``.
+    """
+    most = most or PIECE
+    degrees = edges.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > most)
+    busy = workspace.stored(degrees.select("src", F.ceil(F.col("n") / most).cast("int").alias("pieces")), f"{label}-busy")
+    piece = F.coalesce(F.pmod(F.xxhash64("dst"), F.col("pieces")).cast("int"), F.lit(0))
+    cut = edges.join(busy, "src", "left").withColumn("piece", piece).drop("pieces")
+    return workspace.bucketed(cut, ["src", "piece"], label), busy
+
+
+def meeting(vertices: DataFrame, links: DataFrame, busy: DataFrame | None = None) -> DataFrame:
+    """``vertices`` (src, ...) with their edges, where these lie: a copy of a busy vertex goes to each of its pieces."""
+    if busy is None:
+        return links.join(vertices, "src")
+    pieces = F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)
+    spread = vertices.join(busy, "src", "left").withColumn("piece", F.explode(pieces)).drop("pieces")
+    return links.join(spread, ["src", "piece"]).drop("piece")
+
+
+def rank_round(links: DataFrame, ranks: DataFrame, busy: DataFrame | None = None) -> DataFrame:
     """One round: each vertex shares its rank among its links. Vertices nobody links to drop out."""
     return (
-        links.join(ranks.withColumnRenamed("id", "src"), "src")
+        meeting(ranks.withColumnRenamed("id", "src"), links, busy)
         .groupBy(F.col("dst").alias("id"))
         .agg(F.sum(F.col("rank") / F.col("out")).alias("s"))
         .select("id", (F.lit(1 - DAMPING) + DAMPING * F.col("s")).alias("rank"))
@@ -70,10 +97,10 @@ def rank_round(links: DataFrame, ranks: DataFrame) -> DataFrame:
 
 def pagerank(edges: DataFrame, rounds: int) -> DataFrame:
     """Ranks after a fixed number of rounds, starting from 1 everywhere."""
-    links = workspace.bucketed(with_out_degree(edges), "src", "links")
+    links, busy = dealt_out(with_out_degree(edges), "links")
     ranks = links.select(F.col("src").alias("id")).distinct().withColumn("rank", F.lit(1.0))
     for i in range(1, rounds + 1):
-        ranks = rank_round(links, ranks)
+        ranks = rank_round(links, ranks, busy)
         if i % CUT_EVERY == 0:
             ranks = workspace.cut(ranks)
     return ranks
@@ -85,12 +112,12 @@ def pagerank_until(edges: DataFrame, tolerance: float, max_rounds: int = 1000) -
     Raises if ``max_rounds`` are not enough: changes shrink by the damping with every round, so a tolerance that
     floating point can tell is met long before.
     """
-    links = workspace.bucketed(with_out_degree(edges), "src", "links")
+    links, busy = dealt_out(with_out_degree(edges), "links")
     ids = links.select(F.col("src").alias("id")).union(links.select("dst")).distinct()
     base = F.lit(1 - DAMPING)
     ranks = workspace.cut(ids.withColumn("rank", base))
     for _ in range(max_rounds):
-        got = rank_round(links, ranks).withColumnRenamed("rank", "new")
+        got = rank_round(links, ranks, busy).withColumnRenamed("rank", "new")
         both = workspace.cut(ranks.join(got, "id", "left").select("id", "rank", F.coalesce("new", base).alias("new")))
         change = both.agg(F.max(F.abs(F.col("new") - F.col("rank")))).first()[0]
         ranks = both.select("id", F.col("new").alias("rank"))
@@ -132,17 +159,28 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def transitive_closure(edges: DataFrame) -> DataFrame:
-    """All (src, dst) with a path between them; only the newest paths are extended each round."""
-    base = workspace.bucketed(edges.select("src", "dst").distinct(), "src", "steps")
-    paths = fresh = base
-    step = base.select(F.col("src").alias("mid"), F.col("dst").alias("far"))
+    """All (src, dst) with a path between them; only the newest paths are extended each round.
+
+    What was found lies in tables of which each is at least twice the next: small ones are written together as they
+    gather, so a round reads few tables, and a path is written anew a few times only, however many rounds there are.
+    """
+    first = workspace.stored(edges.select("src", "dst").distinct(), "paths")
+    steps, busy = dealt_out(first, "steps")
+    found, fresh = [(first, first.count())], first
     while True:
-        longer = fresh.join(step, fresh["dst"] == step["mid"]).select("src", F.col("far").alias("dst")).distinct()
-        fresh = workspace.cut(longer.join(paths, ["src", "dst"], "left_anti"))
-        if fresh.isEmpty():
+        heads = fresh.select(F.col("src").alias("start"), F.col("dst").alias("src"))
+        longer = meeting(heads, steps, busy).select(F.col("start").alias("src"), "dst").distinct()
+        for paths, _ in found:
+            longer = longer.join(paths, ["src", "dst"], "left_anti")
+        fresh = workspace.stored(longer, "paths")
+        n = fresh.count()
+        if not n:
             break
-        paths = paths.union(fresh)
-    return paths
+        found.append((fresh, n))
+        while len(found) > 1 and found[-2][1] < 2 * found[-1][1]:
+            (a, n_a), (b, n_b) = found[-2:]
+            found[-2:] = [(workspace.stored(a.union(b), "paths"), n_a + n_b)]
+    return reduce(DataFrame.union, (paths for paths, _ in found))
 
 
 def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
@@ -151,12 +189,12 @@ def shortest_paths(edges: DataFrame, source: int) -> DataFrame:
     Only vertices whose distance fell in the last round send messages.
     """
     spark = edges.sparkSession
-    edges = workspace.bucketed(edges.select("src", "dst", "weight"), "src", "weighted")
+    links, busy = dealt_out(edges.select("src", "dst", "weight"), "weighted")
     moved = spark.range(source, source + 1).select("id", F.lit(0.0).alias("distance"))
     known = moved
     while True:
         offers = (
-            moved.join(edges, moved["id"] == edges["src"])
+            meeting(moved.withColumnRenamed("id", "src"), links, busy)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.min(F.col("distance") + F.col("weight")).alias("offer"))
         )

@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-_made: list[str] = []
+#: What was made so far: (session, table or None for a file, its name).
+_made: list[tuple[str, bool, str]] = []
+
+
+def _session(spark: SparkSession) -> str:
+    return spark._jsparkSession.sessionUUID()
 
 
 def qualified(spark: SparkSession, path: str) -> str:
@@ -20,12 +26,13 @@ def qualified(spark: SparkSession, path: str) -> str:
 def root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Where it is unset, a folder of the default file system is taken, but only for a local master: whether executors on
-    other machines could read it is not known.
+    Where it is unset, a folder of the default file system is taken, but only for a local master of one process:
+    whether other executors could read it is not known.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         tmp = spark.sparkContext._jsc.hadoopConfiguration().get("hadoop.tmp.dir")
         base = f"{tmp}/farebox-{uuid.uuid4().hex}"
@@ -36,15 +43,23 @@ def root(spark: SparkSession) -> str:
 def scratch(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other run uses."""
     path = f"{root(spark)}/{label}-{uuid.uuid4().hex}"
-    _made.append(path)
+    _made.append((_session(spark), False, path))
     return path
 
 
 def clean_up(spark: SparkSession) -> int:
-    """Remove everything written below the shared folder by this process so far; results still to be read go too."""
-    removed = 0
-    while _made:
-        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_made.pop())
+    """Remove what this session has written below the shared folder so far, and tables over it; how many files or folders.
+
+    Results still to be read go too.
+    """
+    mine, removed = _session(spark), 0
+    for entry in [e for e in _made if e[0] == mine]:
+        _made.remove(entry)
+        _, table, name = entry
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+            continue
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         removed += hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
     return removed
 
@@ -66,16 +81,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+def bucketed(df: DataFrame, key: str | Sequence[str], label: str) -> DataFrame:
     """Write ``df`` once, bucketed and sorted by ``key``: joins and groups on the key move none of its rows again.
 
     There are as many buckets as shuffle partitions, so that the other side of a join is dealt out alike, and each
-    task writes one bucket.
+    task writes one bucket. A bucket cannot be split, so no key may have too many rows.
     """
-    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    spark, name, keys = df.sparkSession, f"{label}_{uuid.uuid4().hex}", [key] if isinstance(key, str) else list(key)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+    dealt = df.repartition(n, *keys).write.bucketBy(n, *keys).sortBy(*keys)
     dealt.option("path", scratch(spark, label)).saveAsTable(name)
+    _made.append((_session(spark), True, name))
     return spark.table(name)
 
 

@@ -5,6 +5,8 @@ import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from farebox import workspace
 from farebox.plans import graph, matrix
 
@@ -120,3 +122,38 @@ def test_a_round_moves_no_edges(spark):
     edge_side = plan[: plan.index("Bucketed: true")]
     assert edge_side.rstrip().splitlines()[-1].count("FileScan") == 1
     assert "Bucketed: true" in plan
+
+
+def test_a_busy_vertex_is_cut_into_pieces(spark, monkeypatch):
+    """A third of all edges leave one vertex: they lie in several tasks, and the results stay the same."""
+    rng = random.Random(6)
+    pairs = sorted({(0, i) for i in range(1, 400)} | {(rng.randrange(400), rng.randrange(400)) for _ in range(800)})
+    edges = edges_of(spark, pairs)
+    weighted = edges_of(spark, [(a, b, float(1 + (a * 7 + b) % 5)) for a, b in pairs], "src bigint, dst bigint, weight double")
+    whole = {r.id: r.rank for r in graph.pagerank(edges, 4).collect()}
+    far = {r.id: r.distance for r in graph.shortest_paths(weighted, 3).collect()}
+    monkeypatch.setattr(graph, "PIECE", 20)
+    links, busy = graph.dealt_out(edges, "links")
+    assert {r.src: r.pieces for r in busy.collect()}[0] >= 20 and links.count() == len(pairs)
+    tasks = links.where("src = 0").select(F.spark_partition_id().alias("task")).distinct().count()
+    assert tasks > 1
+    assert {r.id: r.rank for r in graph.pagerank(edges, 4).collect()} == pytest.approx(whole)
+    assert {r.id: r.distance for r in graph.shortest_paths(weighted, 3).collect()} == far
+    reached, todo = {0}, [0]
+    while todo:
+        at = todo.pop()
+        todo += [b for a, b in pairs if a == at and b not in reached]
+        reached |= {b for a, b in pairs if a == at}
+    from_hub = graph.transitive_closure(edges).where("src = 0")
+    assert {r.dst for r in from_hub.collect()} | {0} == reached
+
+
+def test_clean_up_leaves_no_table(spark):
+    session = spark.newSession()
+    edges = session.createDataFrame([(1, 2), (2, 3)], "src bigint, dst bigint")
+    links, _ = graph.dealt_out(edges, "links")
+    before = {t.name for t in session.catalog.listTables() if t.name.startswith("links_")}
+    assert before and workspace.clean_up(session) > 0
+    mine = {e[2] for e in workspace._made if e[0] == workspace._session(spark)}
+    after = {t.name for t in session.catalog.listTables() if t.name.startswith("links_")}
+    assert len(after) == len(before) - 1 and mine  # the other session's tables and files stay
