@@ -19,7 +19,9 @@ Models other than byte-pair ones, with pieces of the user's own or unused ones,
 
 from __future__ import annotations
 
+import hashlib
 import heapq
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -35,9 +37,10 @@ from farebox.llm.common import in_small_batches, utf8
 MARK = "▁".encode()
 REPLACEMENT = "�".encode()
 UNKNOWN_TEXT = " ⁇ ".encode()
-MOST_WORDS = 200_000
+MOST_WORDS = 1_000_000
 LONGEST_WORD = 64
-SHORT = 24  # characters up to which a word is merged without a heap
+SHORT = 64  # characters up to which a word is merged without a heap
+NONE = float("-inf")  # the score of a pair without a piece
 
 # Numbers of the fields and kinds in a model file, and the model type; fixed by the format.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
@@ -178,7 +181,8 @@ class Words(dict):
         self.model = model
 
     def __missing__(self, word: bytes) -> bytes:
-        packed = np.array(self.model.encode_word(word), "<u4").tobytes()
+        numbers = self.model.encode_word(word)
+        packed = struct.pack(f"<{len(numbers)}I", *numbers)
         if len(word) <= LONGEST_WORD:
             if len(self) >= MOST_WORDS:
                 self.clear()
@@ -239,13 +243,19 @@ class Model:
         """The word's pieces: the pair of best score becomes one, the leftmost of equals, until none has a piece."""
         parts, scores = list(word), self.scores
         if len(parts) <= SHORT:
-            while len(parts) > 1:
-                pairs = [(scores.get(a + b), -i) for i, (a, b) in enumerate(zip(parts, parts[1:]))]
-                best = max((p for p in pairs if p[0] is not None), default=None)
-                if best is None:
+            get = scores.get
+            pairs = [get(a + b, NONE) for a, b in zip(parts, parts[1:])]
+            while pairs:
+                best = max(pairs)
+                if best == NONE:
                     break
-                i = -best[1]
+                i = pairs.index(best)
                 parts[i : i + 2] = [parts[i] + parts[i + 1]]
+                del pairs[i]
+                if i:
+                    pairs[i - 1] = get(parts[i - 1] + parts[i], NONE)
+                if i < len(pairs):
+                    pairs[i] = get(parts[i] + parts[i + 1], NONE)
             return parts
         after = list(range(1, len(parts) + 1))
         before = list(range(-1, len(parts) - 1))
@@ -264,27 +274,32 @@ class Model:
                     heapq.heappush(heap, (-scores[parts[a] + parts[b]], a, parts[a] + parts[b]))
         return [p for p in parts if p]
 
-    def encode_word(self, word: bytes) -> list[tuple[int, int]]:
-        """(id, bytes of the word it stands for) of each piece."""
-        out: list[tuple[int, int]] = []
+    def encode_word(self, word: bytes) -> list[int]:
+        """Id and bytes of the word it stands for of each piece, in turn."""
+        out: list[int] = []
         was_unknown = False
         for part in self.merged(word.decode()):
-            raw = part.encode()
             known = self.ids.get(part)
+            raw = part.encode()
             if known is not None:
-                out.append((known, len(raw)))
+                out += (known, len(raw))
             elif self.fallback:
-                raw_model = MARK if part == " " else raw
-                out += [(self.bytes[b], 0) for b in raw_model[:-1]] + [(self.bytes[raw_model[-1]], len(raw))]
+                *others, last = MARK if part == " " else raw
+                for byte in others:
+                    out += (self.bytes[byte], 0)
+                out += (self.bytes[last], len(raw))
             elif was_unknown:  # neighbours without a piece are one unknown
-                out[-1] = (self.unk, out[-1][1] + len(raw))
+                out[-1] += len(raw)
             else:
-                out.append((self.unk, len(raw)))
+                out += (self.unk, len(raw))
             was_unknown = known is None
         return out
 
-    def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids, and the places in ``text`` where the bytes of each begin and end."""
+    def encode(self, text: bytes, ends: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and the places in ``text`` where the bytes of each begin and end.
+
+        With ``ends``, the begin and end ids stand around them, for nothing.
+        """
         norm, origin = self.normalizer(text)
         packed = b"".join(map(self.words.__getitem__, self.cut.findall(norm)))
         ids, sizes = np.frombuffer(packed, "<u4").reshape(-1, 2).T
@@ -292,17 +307,21 @@ class Model:
             ids, sizes = joined_unknowns(ids, sizes, self.unk)
         places = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         places = origin[places] if origin is not None else np.maximum(places - len(self.normalizer.lead), 0)
-        return ids, places[:-1], places[1:]
+        if not ends:
+            return ids, places[:-1], places[1:]
+        ids = np.concatenate([[self.bos], ids, [self.eos]])
+        return ids, np.concatenate([[0], places[:-1], [len(text)]]), np.concatenate([[0], places[1:], [len(text)]])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: controls vanish, a space put before goes, bytes that are no character become U+FFFD each."""
-        runs: list[list[int]] = [[]]  # bytes on either side of a control are not of one character
-        for i in ids:
-            if i in self.controls:
-                runs.append([])
-            else:
-                runs[-1].append(i)
-        runs = [run for run in runs if run]
+        start, stop = 0, len(ids)
+        while start < stop and ids[start] in self.controls:
+            start += 1
+        while stop > start and ids[stop - 1] in self.controls:
+            stop -= 1
+        runs = [ids[start:stop]] if start < stop else []
+        if not self.controls.isdisjoint(ids[start:stop]):  # bytes on either side of a control are not of one character
+            runs = [list(run) for control, run in itertools.groupby(ids[start:stop], self.controls.__contains__) if not control]
         texts = [b"".join(map(self.texts.__getitem__, run)) for run in runs]
         if runs and runs[0][0] not in self.byte_of and runs[0][0] != self.unk and texts[0].startswith(b" "):
             if self.normalizer.remove_spaces:
@@ -352,13 +371,7 @@ def encode(docs: DataFrame, model_file: str, ends: bool = True) -> DataFrame:
         model = shared.value
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            done = []
-            for text in texts:
-                ids, begins, stops = model.encode(text)
-                if ends:
-                    ids = np.concatenate([[model.bos], ids, [model.eos]])
-                    begins, stops = (np.concatenate([[0], x, [len(text)]]) for x in (begins, stops))
-                done.append((ids, begins, stops))
+            done = [model.encode(text, ends) for text in texts]
             offsets = pa.array(np.cumsum([0, *(len(d[0]) for d in done)]), pa.int32())
             lists = [
                 pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([*(d[k] for d in done), []]).astype(kind)))
@@ -371,7 +384,7 @@ def encode(docs: DataFrame, model_file: str, ends: bool = True) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model_file: str) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ``ids``, and ``packed``, the ids as little-endian 32-bit integers."""
+    """``encoded`` with ``decoded``, the text of its ``ids``."""
     shared = encoded.sparkSession.sparkContext.broadcast(Model.load(model_file))
     columns = encoded.columns
 
@@ -379,23 +392,35 @@ def decode(encoded: DataFrame, model_file: str) -> DataFrame:
         model = shared.value
         for batch in batches:
             lists = batch.column(columns.index("ids"))
-            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False).astype("<u4")
-            parts = [flat[a:b] for a, b in zip(edges, edges[1:])]
-            decoded = pa.array([model.decode(p.tolist()) for p in parts], pa.string())
-            packed = pa.array([p.tobytes() for p in parts], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, decoded, packed], [*columns, "decoded", "packed"])
+            edges, flat = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            decoded = pa.array([model.decode(flat[a:b].tolist()) for a, b in zip(edges, edges[1:])], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, decoded], [*columns, "decoded"])
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
-    return encoded.mapInArrow(of, f"{schema}, decoded string, packed binary")
+    return encoded.mapInArrow(of, f"{schema}, decoded string")
+
+
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, spans_sha256 string"
 
 
 def judge(docs: DataFrame, model_file: str) -> DataFrame:
-    """doc_id, n_tokens and digests of the ids, the decoded text and the spans of every document."""
-    both = decode(encode(docs, model_file), model_file)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2("packed", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.xxhash64("begins", "ends").alias("spans_hash"),
-    )
+    """doc_id, n_tokens and digests of the ids, the decoded text and the spans of every document.
+
+    Encoding, decoding and digests are made in one task, so that ids and spans need not be written out in between.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(Model.load(model_file))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            rows = []
+            for text in batch.column(1).to_pylist():
+                ids, begins, stops = model.encode(text, ends=True)
+                decoded = model.decode(ids.tolist())
+                parts = (ids.astype("<u4"), decoded.encode(), np.stack([begins, stops]).astype("<u8"))
+                rows.append((len(ids), *(hashlib.sha256(part).hexdigest() for part in parts)))
+            columns = [pa.array(list(c), kind) for c, kind in zip(zip(*rows), (pa.int64(), pa.string(), pa.string(), pa.string()))] if rows else []
+            if rows:
+                yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_sha256"])
+
+    return in_small_batches(docs).select("doc_id", utf8(F.col("text"))).mapInArrow(of, DIGESTS)

@@ -113,6 +113,12 @@ def test_spans_as_rows(spark, sp):
     assert pieces.encode(docs, MODEL, ends=False).where("doc_id = 3").first().ids == []
 
 
+def test_decoding_rows(spark, sp, odd):
+    encoded = pieces.encode(odd, MODEL)
+    got = sorted((repr(r.doc_id), r.decoded) for r in pieces.decode(encoded, MODEL).collect())
+    assert got == sorted((repr(r.doc_id), sp.decode(sp.encode(r.text or ""))) for r in odd.collect())
+
+
 def test_empty_table(no_docs):
     assert pieces.judge(no_docs, MODEL).count() == 0
 
