@@ -97,17 +97,30 @@ def str_regex(t: Tables) -> DataFrame:
     )
 
 
+# The digit of each letter from A to Z; 0 separates, 7 is passed over.
+SOUNDS = "01230127022455012623017202"
+
+
+def _soundex_in_sql(name: str) -> str:
+    """The letter, then up to three digits: runs of one digit count once, other characters separate."""
+    coded = f"regexp_replace(translate(upper({name}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '{SOUNDS}'), '[^0-7]', '0', 'g')"
+    runs = f"(replace({coded}[1], '7', '0') || replace({coded}[2:], '7', ''))"
+    for digit in "123456":
+        runs = f"regexp_replace({runs}, '{digit}+', '{digit}', 'g')"
+    return f"upper({name}[1]) || (replace({runs}[2:], '0', '') || '000')[1:3]"
+
+
 @query(
     "str_fuzzy",
-    """SELECT p_partkey, CAST(levenshtein(p_name, lower(p_type)) AS BIGINT) AS edits, upper(left(p_name, 1)) AS sound_letter, 4 AS sound_size FROM part""",
+    f"""SELECT p_partkey, CAST(levenshtein(p_name, lower(p_type)) AS BIGINT) AS edits, {_soundex_in_sql('p_name')} AS sound, {_soundex_in_sql('p_type')} AS type_sound FROM part""",
 )
 def str_fuzzy(t: Tables) -> DataFrame:
-    sound = F.soundex("p_name")
+    """Edit distances and sound codes."""
     return t.part.select(
         "p_partkey",
         F.levenshtein("p_name", F.lower("p_type")).cast("bigint").alias("edits"),
-        F.substring(sound, 1, 1).alias("sound_letter"),
-        F.length(sound).alias("sound_size"),
+        F.soundex("p_name").alias("sound"),
+        F.soundex("p_type").alias("type_sound"),
     )
 
 

@@ -200,13 +200,14 @@ def agg_freq_items(t: Tables) -> DataFrame:
     "agg_pivot",
     """SELECT o_orderpriority, round(sum(o_totalprice) FILTER (o_orderstatus = 'F'), 2) AS F_total,
          count(*) FILTER (o_orderstatus = 'F') AS F_n, round(sum(o_totalprice) FILTER (o_orderstatus = 'O'), 2) AS O_total,
-         count(*) FILTER (o_orderstatus = 'O') AS O_n FROM orders GROUP BY 1""",
+         count(*) FILTER (o_orderstatus = 'O') AS O_n, round(sum(o_totalprice) FILTER (o_orderstatus = 'P'), 2) AS P_total,
+         count(*) FILTER (o_orderstatus = 'P') AS P_n FROM orders GROUP BY 1""",
 )
 def agg_pivot(t: Tables) -> DataFrame:
-    """The pivot values are given, which saves the pass that would look for them."""
+    """The pivot values are given, all three there are, which saves the pass that would look for them."""
     return (
         t.orders.groupBy("o_orderpriority")
-        .pivot("o_orderstatus", ["F", "O"])
+        .pivot("o_orderstatus", ["F", "O", "P"])
         .agg(F.round(F.sum("o_totalprice"), 2).alias("total"), F.count(F.lit(1)).alias("n"))
     )
 

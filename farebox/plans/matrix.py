@@ -23,6 +23,10 @@ def partial_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"i": i.ravel() + 1, "j": j.ravel() + 1, "value": total.ravel()})
 
 
+#: Columns of a matrix whose Gramian (32 MB) may be decomposed on the driver.
+MOST_COLUMNS = 2048
+
+
 def gramian(rows: DataFrame, column: str) -> DataFrame:
     """A'A of a tall, narrow matrix given as one array per row."""
     partial = rows.select(F.col(column).alias("row")).mapInPandas(partial_products, "i int, j int, value double")
@@ -100,6 +104,9 @@ def svd(rows: DataFrame, column: str, k: int, keep: list[str]) -> tuple[DataFram
     The Gramian has one row per pair of columns, whatever the number of rows, so it is
     decomposed on the driver; the left factors are a product with the rows, made by the tasks.
     """
+    width = rows.agg(F.max(F.size(column))).first()[0] or 0
+    if width > MOST_COLUMNS:
+        raise ValueError(f"{width} columns; the driver is meant to hold the Gramian of {MOST_COLUMNS} at most")
     cells = gramian(rows, column).toPandas()
     square = cells.pivot(index="i", columns="j", values="value").to_numpy()
     values, vectors = np.linalg.eigh((square + square.T) / 2)

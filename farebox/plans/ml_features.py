@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farebox import workspace
+from farebox.plans.topics import word_counts
 from farebox.registry import query
 from farebox.tables import Tables
 
@@ -42,34 +43,36 @@ def ml_text_features(t: Tables) -> DataFrame:
     return cut.select("doc_id", *(F.size(c).cast("bigint").alias(c) for c in ("tokens", "words", "kept", "pairs")))
 
 
-@query("ml_text_vectors")
+@query(
+    "ml_text_vectors",
+    r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '\p{L}+') AS ws FROM documents),
+         c AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word FROM w) GROUP BY ALL), f AS (SELECT word, count(*) AS df FROM c GROUP BY 1),
+         v AS (SELECT doc_id, sum(n) FILTER (df >= 2) AS kept, sqrt(sum((n * ln((1 + (SELECT count(*) FROM documents)) / (1 + df))) ** 2)) AS norm FROM c JOIN f USING (word) GROUP BY 1)
+       SELECT doc_id, CAST(len(ws) AS INT) AS n_words, len(ws)::DOUBLE AS n_hashed, coalesce(kept, 0)::DOUBLE AS in_vocabulary, round(coalesce(norm, 0), 6) + 0 AS tfidf_norm FROM w LEFT JOIN v USING (doc_id)""",
+)
 def ml_text_vectors(t: Tables) -> DataFrame:
-    """Hashed term counts, tf-idf, vocabulary counts and word vectors of the texts."""
+    """Hashed term counts, and counts and tf-idf by the words themselves.
+
+    Hashing needs no vocabulary. The vocabulary (words of two texts or more) and its document counts are a table that
+    the words join; it never is on the driver.
+    """
+    texts = t.documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     stages = [
         mf.RegexTokenizer(inputCol="text", outputCol="words", pattern=r"\P{L}+"),
         mf.HashingTF(inputCol="words", outputCol="tf", numFeatures=1 << 12),
-        mf.IDF(inputCol="tf", outputCol="tfidf", minDocFreq=2),
-        # As many words as come up in two texts: the limit is that of an index, not of the vocabulary.
-        mf.CountVectorizer(inputCol="words", outputCol="counts", vocabSize=(1 << 31) - 1, minDF=2.0),
-        mf.Word2Vec(inputCol="words", outputCol="meaning", vectorSize=16, minCount=2, maxIter=1, seed=1, numPartitions=4),
     ]
-    vectors = Pipeline(stages=stages).fit(t.documents).transform(t.documents)
-
-    def total_of(vector: str) -> Column:
-        """Sum over the entries that a sparse vector holds, without making it dense."""
-        return F.aggregate(F.unwrap_udt(vector)["values"], F.lit(0.0), lambda s, x: s + x)
-
-    def norm(vector: str) -> Column:
-        return F.sqrt(F.aggregate(vector_to_array(vector), F.lit(0.0), lambda s, x: s + x * x))
-
-    return vectors.select(
-        "doc_id",
-        F.size("words").alias("n_words"),
-        F.aggregate(vector_to_array("tf"), F.lit(0.0), lambda s, x: s + x).alias("n_hashed"),
-        norm("tfidf").alias("tfidf_norm"),
-        total_of("counts").alias("in_vocabulary"),
-        norm("meaning").alias("meaning_norm"),
+    hashed = Pipeline(stages=stages).fit(texts).transform(texts)
+    total = F.aggregate(F.unwrap_udt("tf")["values"], F.lit(0.0), lambda s, x: s + x)  # the entries that a sparse vector holds
+    sizes = hashed.select("doc_id", F.size("words").alias("n_words"), total.alias("n_hashed"))
+    counts = workspace.stored(word_counts(t.documents), "text-words")
+    frequency = counts.groupBy("word").agg(F.count("*").alias("df"))
+    weight = F.col("n") * F.log((F.lit(float(t.documents.count())) + 1) / (F.col("df") + 1))
+    kept = counts.join(frequency, "word").groupBy(F.col("doc").alias("doc_id")).agg(
+        F.sum(F.when(F.col("df") >= 2, F.col("n"))).alias("kept"), F.sqrt(F.sum(weight * weight)).alias("norm")
     )
+    zero = F.lit(0.0)
+    both = sizes.join(kept, "doc_id", "left")
+    return both.select("doc_id", "n_words", "n_hashed", F.coalesce("kept", zero).alias("in_vocabulary"), (F.round(F.coalesce("norm", zero), 6) + 0).alias("tfidf_norm"))
 
 
 @query(
@@ -165,12 +168,18 @@ def ml_encoding(t: Tables) -> DataFrame:
     )
 
 
-@query("ml_encoding_fitted")
+@query(
+    "ml_encoding_fitted",
+    """WITH n AS (SELECT c_nationkey, row_number() OVER (ORDER BY c_nationkey <> 0, c_nationkey) - 1 AS i FROM (SELECT DISTINCT c_nationkey FROM customer)),
+         s AS (SELECT count(DISTINCT c_mktsegment) AS segments FROM customer)
+       SELECT c_custkey, 2 + (c_acctbal <> 0)::INT AS hashed_values, i::DOUBLE AS nation_index, CAST(segments AS INT) AS design_width, c_acctbal AS target
+       FROM customer JOIN n USING (c_nationkey), s""",
+)
 def ml_encoding_fitted(t: Tables) -> DataFrame:
     """Encodings by hash, by formula and by counting distinct values."""
     rows = mf.VectorAssembler(inputCols=["c_nationkey", "c_acctbal"], outputCol="raw").transform(t.customer)
     stages = [
-        mf.FeatureHasher(inputCols=["c_mktsegment", "c_nationkey", "c_acctbal"], outputCol="hashed", numFeatures=64, categoricalCols=["c_nationkey"]),
+        mf.FeatureHasher(inputCols=["c_mktsegment", "c_nationkey", "c_acctbal"], outputCol="hashed", numFeatures=1 << 18, categoricalCols=["c_nationkey"]),
         mf.VectorIndexer(inputCol="raw", outputCol="indexed", maxCategories=25),
         mf.RFormula(formula="c_acctbal ~ c_mktsegment + c_nationkey", featuresCol="design", labelCol="target"),
     ]

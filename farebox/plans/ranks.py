@@ -6,8 +6,10 @@ running counts come from ``scale.running_sum``, whose slots are joined up by one
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +53,16 @@ def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
     return sums.select("n", F.try_divide(F.col("ab"), F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"))
 
 
+def normal_cdf(x: Column, mean: float, sd: float) -> Column:
+    """The normal distribution function, which Spark has no expression for."""
+
+    @F.pandas_udf("double")
+    def of(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: 0.5 * math.erfc((mean - v) / (sd * math.sqrt(2))))
+
+    return of(x)
+
+
 def kolmogorov_tail(lam: Column) -> Column:
     """The chance of a larger statistic, by Kolmogorov's series; its first terms alternate, so small values are 1."""
     terms = [F.lit(2.0 * (-1) ** (k - 1)) * F.exp(F.lit(-2.0 * k * k) * lam * lam) for k in range(1, TERMS + 1)]

@@ -48,7 +48,7 @@ def fit(rows: DataFrame, inputs: list[str], shape: bool = True, tol: float = 1e-
 
     Steps are halved until the likelihood rises, so the fit cannot run away from a poor start.
     """
-    first = rows.agg(F.log(F.sum("time") / F.sum("ended"))).first()[0]
+    first = rows.agg(F.log(F.try_divide(F.sum("time"), F.sum("ended")))).first()[0]
     if first is None:
         raise ValueError("no row has ended: the model has no finite parameters")
     at = np.zeros(len(inputs) + 2)

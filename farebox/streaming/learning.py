@@ -37,19 +37,37 @@ def stream_ml_refit(t: Tables) -> DataFrame:
     return fitted.select("n", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
-@query("stream_kmeans_refit")
+START = ((5.0, 1.0), (25.0, 5.0), (45.0, 9.0))
+
+
+def _centres_in_sql() -> str:
+    """Both batches: the nearest centre of each row, then what was known (half as heavy) and the rows together."""
+    rows = ", ".join(f"({k}, {x}::DOUBLE, {y}::DOUBLE, 0.0::DOUBLE)" for k, (x, y) in enumerate(START))
+    parts = [f"c0 AS (SELECT * FROM (VALUES {rows}) v(cluster, x, y, weight))"]
+    for b in range(2):
+        parts += [
+            f"""a{b} AS (SELECT px, py, arg_min(cluster, (d, cluster)) AS cluster FROM (SELECT p.*, cluster, (px - x) ** 2 + (py - y) ** 2 AS d
+                 FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity AS px, l_discount * 100 AS py FROM lineitem WHERE l_orderkey % 2 = {b}) p, c{b}) GROUP BY l_orderkey, l_linenumber, l_partkey, px, py)""",
+            f"""c{b + 1} AS (SELECT cluster, CASE WHEN w + n > 0 THEN (x * w + sx) / (w + n) ELSE x END AS x, CASE WHEN w + n > 0 THEN (y * w + sy) / (w + n) ELSE y END AS y, w + n AS weight
+                 FROM (SELECT cluster, x, y, weight * 0.5 AS w, coalesce(n, 0) AS n, coalesce(sx, 0) AS sx, coalesce(sy, 0) AS sy
+                       FROM c{b} LEFT JOIN (SELECT cluster, count(*) AS n, sum(px) AS sx, sum(py) AS sy FROM a{b} GROUP BY 1) USING (cluster)))""",
+        ]
+    return f"WITH {', '.join(parts)} SELECT CAST(cluster AS BIGINT) AS cluster, round(x, 6) AS x, round(y, 6) AS y, round(weight, 6) AS weight FROM c2"
+
+
+@query("stream_kmeans_refit", _centres_in_sql())
 def stream_kmeans_refit(t: Tables) -> DataFrame:
     """Centres that move with every batch; what was learned before counts half.
 
     The centres and their weights (k rows) are written with each batch and read back by
     the next one, so a restart goes on from the last finished batch.
     """
-    decay, start = 0.5, ((5.0, 1.0), (25.0, 5.0), (45.0, 9.0))
+    decay = 0.5
     feed, run = Feed(t, SCHEMAS["lineitem"]), Run(t, "stream-kmeans")
 
     def before(epoch: int) -> list[tuple[float, float, float]]:
         if epoch == 0:
-            return [(x, y, 0.0) for x, y in start]
+            return [(x, y, 0.0) for x, y in START]
         saved = t.spark.read.parquet(f"{run.out}/batch={epoch - 1}").orderBy("cluster").collect()  # k rows
         return [(row["x"], row["y"], row["weight"]) for row in saved]
 
@@ -70,7 +88,7 @@ def stream_kmeans_refit(t: Tables) -> DataFrame:
 
     for part in PARTS:
         run.per_batch(feed.add(t.lineitem.filter(part)).read(), "append", move)
-    return run.last()
+    return run.last().select("cluster", *(F.round(c, 6).alias(c) for c in ("x", "y", "weight")))
 
 
 #: A step of size ``STEP / sqrt(i)`` for the i-th of ``ROUNDS`` passes over a batch.
