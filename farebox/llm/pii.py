@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from farebox.llm.common import free_name
 
 ROUNDS = 10
-KEY = "farebox-demonstration-key"  # pass your own; who has the key can undo the permutation
+KEY = "farebox-demonstration-key"  # of the query alone; who has the key can undo the permutation
 KINDS = ("card", "phone", "intl", "ssn", "ipv4", "date", "email")
 
 # The formats.
@@ -262,7 +262,8 @@ def kind_of(value: Column) -> Column:
         .when(date, F.when(day_of(value).between(F.lit("1900-01-01").cast("date"), F.lit("2099-12-31").cast("date")), "date"))
         .when(value.rlike(f"^{SSN}$"), F.when(given_out, "ssn"))
         .when(value.rlike(f"^{IPV4}$"), F.when(in_range, "ipv4"))
-        .when(value.rlike(f"^(?:{PHONE})$"), "phone")
+        # However it is spaced: eleven digits after a plus, of which the first is the country's 1.
+        .when(value.rlike(f"^(?:{PHONE})$") | (value.startswith("+1") & (F.length(digits) == 11)), "phone")
         .when(~value.startswith("+") & F.length(digits).between(13, 19), F.when(luhn(digits), "card"))
         .when(value.startswith("+"), F.when(F.length(digits).between(8, 15), "intl"))
     )
@@ -291,8 +292,8 @@ def rebuilt(key: str, text: Column, hits: Column) -> Column:
     return F.when(F.size(hits) > 0, F.array_join(filled, "")).otherwise(text)
 
 
-def pseudonymize(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """The documents with the values in ``text`` replaced."""
+def pseudonymize(docs: DataFrame, key: str) -> DataFrame:
+    """The documents with the values in ``text`` replaced, under a key of your own."""
     hits = free_name(docs, "hits")
     marked = docs.withColumn(hits, found(F.col("text")))
     return marked.withColumn("text", rebuilt(key, F.col("text"), F.col(hits))).drop(hits)

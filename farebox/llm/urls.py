@@ -1,6 +1,7 @@
 """URL filters: rules by host and path first, then gradient-boosted trees on what a URL looks like.
 
-The labelled URLs that the trees learn from are those that a rule decides: at most ``MAX_TRAIN`` of them, taken by a
+The labelled URLs that the trees learn from are those that a rule decides: at most ``MAX_TRAIN`` distinct ones, half of
+each label, taken by a
 hash of the URL. The statistics of suffixes (how often URLs under the last label of the host are blocked by rule, drawn
 to the mean) are counted over all labelled URLs. Features: length, depth, digit ratio, entropy of the characters,
 number of parameters, and the suffix statistics. URLs that no rule decides get the verdict of the trees.
@@ -113,6 +114,17 @@ def suffix_statistics(labelled: DataFrame, mean: float) -> DataFrame:
     return workspace.stored(counted.select("suffix", rate.alias("rate"), "seen"), "url-suffixes")
 
 
+def sampled(labelled: DataFrame, most: int) -> DataFrame:
+    """Distinct URLs with their labels, at most half of ``most`` of each label, by hash.
+
+    Copies count once, with a weight that grows with the logarithm of their number, so that one very common URL
+    neither fills the sample nor outweighs it.
+    """
+    copies = labelled.groupBy("url", "host", "path", "label").agg((1 + F.log2(F.count(F.lit(1)))).alias("weight"))
+    parts = [copies.where(F.col("label") == label).orderBy(F.xxhash64("url"), "url").limit(max(1, most // 2)) for label in (0.0, 1.0)]
+    return parts[0].union(parts[1])
+
+
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, most: int = MAX_TRAIN) -> DataFrame:
     """page_id, host, path, rule, verdict and the trees' chance of a block, for every page."""
     rule, decided = longest_rule(rules)
@@ -125,9 +137,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, most: int
         verdict = F.coalesce("decided", F.lit(only))
         return urls.select("page_id", "host", "path", "rule", verdict.alias("verdict"), F.lit(float(only == "block")).alias("p_block"))
     statistics = suffix_statistics(labelled, blocked / n)
-    sample = labelled.orderBy(F.xxhash64("url"), "url").limit(most)
-    train = featured(sample, statistics, blocked / n).select("features", "label")
-    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7)
+    train = featured(sampled(labelled, most), statistics, blocked / n).select("features", "label", "weight")
+    trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, weightCol="weight")
     model = trees.fit(workspace.stored(train, "url-train").coalesce(4))
     scored = model.transform(featured(urls, statistics, blocked / n))
     p_block = F.round(vector_to_array("probability")[1], 6)

@@ -150,6 +150,25 @@ def test_urls_learned(spark):
     assert all(got[900 + i] == "allow" and got[950 + i] == "block" for i in range(20))
 
 
+def test_a_very_common_url_does_not_fill_the_sample(spark):
+    """Many copies of the URL of least hash leave the verdicts of other URLs as they are."""
+    rows = [(i, f"http://h{i}.org/a/{i}") for i in range(300)] + [(300 + i, f"http://h{i}.com/de/{i}?a=1&b=2&c={i}") for i in range(300)]
+    new = [(900 + i, f"http://n{i}.net/x/{i}") for i in range(20)] + [(950 + i, f"http://n{i}.net/xx/{i}?a=1&b=2&c={i}") for i in range(20)]
+    df = spark.createDataFrame(rows + new, "page_id long, url string")
+    first = df.where("page_id < 600").orderBy(F.xxhash64("url")).first().url
+    copies = spark.createDataFrame([(2000 + i, first) for i in range(400)], df.schema)
+    for pages in (df, df.union(copies)):
+        got = {r.page_id: r.verdict for r in urls.judge(pages, most=300).where("page_id >= 900 AND page_id < 2000").collect()}
+        assert all(got[900 + i] == "allow" and got[950 + i] == "block" for i in range(20))
+
+
+def test_clashing_names_beside_a_url(spark):
+    names = ("host", "path", "rule", "decided", "label", "features", "suffix", "rate", "seen", "weight")
+    df = spark.createDataFrame([(1, "http://a.org/x"), (2, "http://a.com/de/x"), (3, None)], "page_id long, url string")
+    rows = urls.judge(df.select("*", *(F.lit("keep").alias(n) for n in names))).collect()
+    assert {r.page_id: r.rule for r in rows} == {1: "org/", 2: "com/de/", 3: None}
+
+
 def test_urls_without_labels(spark):
     one = spark.createDataFrame([(1, "http://a.net/"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in urls.judge(one).collect()} == {"allow"}

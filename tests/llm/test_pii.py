@@ -89,11 +89,11 @@ def test_neighbours(spark):
 
 
 def test_odd_rows(odd, no_docs):
-    rows, old = pii.pseudonymize(odd).collect(), odd.collect()
+    rows, old = pii.pseudonymize(odd, pii.KEY).collect(), odd.collect()
     assert sorted(repr(r) for r in rows) == sorted(repr(r) for r in old)  # nothing private in them
     assert all(r[c] == "keep" for r in rows for c in EXTRA)
     assert pii.judge(odd).count() == len(old)
-    assert pii.judge(no_docs).count() == pii.pseudonymize(no_docs).count() == 0
+    assert pii.judge(no_docs).count() == pii.pseudonymize(no_docs, pii.KEY).count() == 0
 
 
 def test_found_in_documents(small):
@@ -107,9 +107,22 @@ def test_found_in_documents(small):
     assert list(counts) == [len(w) for w in want]
 
 
-@pytest.mark.parametrize("make", [pii.judge, pii.pseudonymize])
+@pytest.mark.parametrize("make", [pii.judge, lambda docs: pii.pseudonymize(docs, pii.KEY)])
 def test_one_scan_without_python(small, make):
     from tests.llm.conftest import plan_of
 
     plan = plan_of(make(small.documents))
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_number_is_linked_however_it_is_spaced(spark):
+    forms = ["+1 415 555 2671", "+14155552671", "+1 (415) 555-2671", "415-555-2671", "(415) 555 2671", "+1 4155552671", "+1-415-5552671"]
+    new = replaced(spark, [f"Call {f} now" for f in forms])
+    digits = {"".join(c for c in text if c.isdigit())[-10:] for text in new}
+    assert len(digits) == 1 and digits != {"4155552671"}
+    assert [len(a) for a in new] == [len(f) + 9 for f in forms]
+
+
+def test_the_key_is_asked_for(no_docs):
+    with pytest.raises(TypeError):
+        pii.pseudonymize(no_docs)
