@@ -6,10 +6,13 @@ encoded together. So a state holds the longest suffix that could still grow into
 relative count at each of its positions; reading a character gives the next state and the change in the number of
 tokens. States are finite, and are compiled when they are first reached.
 
-No piece holds a space mark after another character, and line feeds are in no piece, so the transducer is back in a
-known state there. This makes the state map of a chunk small, whatever its length: the head up to the first such place
-still depends on the state that comes in, then there is a fixed count, then a tail that names the state going out.
-Maps compose associatively, by pairs, as in a parallel prefix scan. Texts are cut into chunks of ``CHUNK`` bytes; a
+No piece holds a space mark after another character, and line feeds are in no piece, so the transducer is in a known
+state there: what stands behind is a count and a state, whatever came before. What stands before the first such place
+of a chunk depends on the state that comes in. If it is long, its map is a table: walks that start at different
+characters come together soon, so a few states stand for all, and each has the count and the state at the end. Maps
+compose associatively, by pairs, as in a parallel prefix scan: the state that arrives is walked along the first
+characters only and then found in the table. One that is not there walks along the bytes, which the map carries for
+that case; texts whose walks do not come together have no table either. Texts are cut into chunks of ``CHUNK`` bytes; a
 very long text is many chunks, mapped without regard to each other.
 
 Defined cases: a null or empty text has no bytes and no tokens; a text of one character, of spaces only or without any
@@ -19,6 +22,7 @@ by row; an empty table gives no rows.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -33,10 +37,12 @@ LIMIT = 4096
 MOST_STATES = 200_000
 MOST_WORDS = 600_000
 LONGEST_WORD = 64
+SHORT = 1 << 13  # bytes up to which a part of a text is its own map
 
 MARK = "\u2581"
-MAP = "open boolean, head binary, count long, tail binary"
 START, OTHER = "", "\n"  # names of the last token before the text, and after a character that is in no piece
+FIRST = ("", ((START, 0),))  # the state before a text
+MOST_COLUMNS = 16
 
 
 class Words(dict):
@@ -68,6 +74,8 @@ class Transducer:
         self.reset = re.compile(rb"(?<=[^ ]) |\n" if self.breaks else rb"(?<=[^ ]) ")
         self.lone: dict[str, bool] = {}
         self.beside: dict[tuple[str, str], bool] = {}
+        self.longest = max(map(len, scores), default=1)
+        self.short = SHORT
         self.clear_states()
         self.counts = Words(self)
 
@@ -87,7 +95,7 @@ class Transducer:
         self.states: dict[tuple, int] = {}
         self.moves: list[dict[str, tuple[int, int]]] = []
         self.names: list[tuple] = []
-        self.state_of((("", ((START, 0),))))
+        self.state_of(FIRST)
 
     def state_of(self, name: tuple) -> int:
         """``name``: the suffix that may grow, and (last token, count less than now) at each of its positions."""
@@ -144,65 +152,107 @@ class Transducer:
         keep = next((k for k in range(min(len(grown), len(history) - 1), 0, -1) if grown[-k:] in self.prefixes), 0)
         return self.state_of((grown[-keep:] if keep else "", tuple(history[len(history) - keep - 1 :]))), change
 
-    def run(self, text: str) -> int:
-        """Tokens of a normalised piece of text, from the start state."""
+    def walk(self, name: tuple, text: str) -> tuple[int, tuple]:
+        """From the state of a name along a normalised text: the change in the number of tokens, and the state's name."""
         if len(self.names) > MOST_STATES:
             self.clear_states()
-        state, total, moves = 0, 0, self.moves
+        state, total, moves = self.state_of(name), 0, self.moves
         for char in text:
             try:
                 state, change = moves[state][char]
             except KeyError:
+                if len(self.names) > 2 * MOST_STATES:  # in a long text without a space
+                    name = self.names[state]
+                    self.clear_states()
+                    state, moves = self.state_of(name), self.moves
                 move = moves[state][char] = self.compile(state, char)
                 state, change = move
             total += change
-        return total
+        return total, self.names[state]
+
+    def run(self, text: str) -> int:
+        """Tokens of a normalised piece of text, from the start state."""
+        return self.walk(FIRST, text)[0]
 
     def count(self, text: bytes) -> int:
         """Tokens of a text that starts and ends where the state is known."""
         total = text.count(b"\n") if self.breaks else 0
         return total + sum(map(self.counts.__getitem__, self.word.findall(text)))
 
-    # State maps: (open, head, count, tail). Open: no known state inside, so the head is all there is.
+    # State maps: (parts, rest). The parts are what comes before the first known state; what they count depends on the
+    # state that comes in. The rest, if there is a known state, is (count, state, bytes of a character cut in two).
 
-    def chunk_map(self, chunk: bytes) -> tuple[bool, bytes, int, bytes]:
+    def chunk_map(self, chunk: bytes) -> tuple:
         found = self.reset.search(chunk)
         if not found:
-            return True, chunk, 0, b""
-        count, tail = self.closed(chunk[found.start() :])
-        return False, chunk[: found.start()], count, tail
+            return ([self.part(chunk)] if chunk else []), None
+        head = chunk[: found.start()]
+        return ([self.part(head)] if head else []), self.closed(chunk[found.start() :])
 
-    def closed(self, text: bytes) -> tuple[int, bytes]:
-        """Count of what is complete, and the tail, of a text from a known state on."""
+    def closed(self, text: bytes) -> tuple[int, tuple, bytes]:
+        """Count and state at the end of a text that starts where the state is known."""
         if self.breaks and text.endswith(b"\n"):
-            return self.count(text), b""
+            return self.count(text), FIRST, b""
         words = self.word.findall(text)
-        tail = words[-1] if words else b""
-        return self.count(text[: len(text) - len(tail)]), tail
-
-    def compose(self, a: tuple, b: tuple) -> tuple[bool, bytes, int, bytes]:
+        last = words[-1] if words else b""
+        return self.onward((self.count(text[: len(text) - len(last)]), FIRST, b""), (last, None, b""))
+
+    def part(self, raw: bytes) -> tuple[bytes, dict | None, bytes]:
+        """(bytes to walk, table, bytes behind the table): the state map of text without a known state inside.
+
+        Walks from every place of the first ``self.longest`` characters come together soon. The states they reach after
+        some more are the table's, with what the rest of the text makes of each: (change, state, cut character).
+        """
+        start = next((k for k in range(min(4, len(raw))) if raw[k] & 0xC0 != 0x80), 0)
+        if len(raw) <= self.short:
+            return raw, None, b""
+        text, cut = whole(raw[start:])
+        lead = text[: 4 * self.longest]
+        at = start + len(lead.encode())
+        states = {self.walk(FIRST, lead[j:].replace(" ", MARK))[1] for j in range(self.longest)}
+        if len(states) > MOST_COLUMNS:
+            return raw, None, b""
+        rest = text[len(lead) :].replace(" ", MARK)
+        return raw[:at], {name: (*self.walk(name, rest), cut) for name in states}, raw[at:]
+
+    def onward(self, now: tuple[int, tuple, bytes], part: tuple[bytes, dict | None, bytes]) -> tuple[int, tuple, bytes]:
+        """Count and state after a part. A state that its table does not have walks along its bytes."""
+        (count, name, cut), (lead, table, behind) = now, part
+        text, cut = whole(cut + lead)
+        change, name = self.walk(name, text.replace(" ", MARK))
+        if table is None:
+            return count + change, name, cut
+        if name in table and not cut:
+            more, name, cut = table[name]
+            return count + change + more, name, cut
+        return self.onward((count + change, name, cut), (behind, None, b""))
+
+    def compose(self, a: tuple, b: tuple) -> tuple:
         """The map of ``a`` followed by ``b``."""
-        (a_open, a_head, a_count, a_tail), (b_open, b_head, b_count, b_tail) = a, b
-        if a_open:
-            between = self.chunk_map(a_head + b_head)
-            if b_open:
-                return between
-            if between[0]:
-                return False, between[1], b_count, b_tail
-            return False, between[1], between[2] + self.count(between[3]) + b_count, b_tail
-        middle = a_tail + b_head
-        if b_open:
-            count, tail = self.closed(middle)
-            return False, a_head, a_count + count, tail
-        return False, a_head, a_count + self.count(middle) + b_count, b_tail
+        (a_parts, a_rest), (b_parts, b_rest) = a, b
+        if a_rest is None:
+            return a_parts + b_parts, b_rest
+        for part in b_parts:
+            a_rest = self.onward(a_rest, part)
+        return a_parts, a_rest if b_rest is None else (a_rest[0] + b_rest[0], *b_rest[1:])
 
     def scan(self, maps: list[tuple]) -> int:
         """Tokens of a whole text from the maps of its chunks, composed in pairs, level by level."""
         while len(maps) > 1:
             pairs = [self.compose(a, b) for a, b in zip(maps[::2], maps[1::2])]
             maps = pairs + maps[len(maps) & ~1 :]
-        is_open, head, count, tail = maps[0]
-        return self.count(head) + count + self.count(tail)
+        return self.compose(([], (0, FIRST, b"")), maps[0])[1][0]
+
+
+def whole(raw: bytes) -> tuple[str, bytes]:
+    """The characters of ``raw``, and the bytes of one that is cut off at its end."""
+    for k in range(1, min(4, len(raw)) + 1):
+        lead = raw[-k]
+        if lead & 0xC0 != 0x80:
+            if k < (1 if lead < 0x80 else 2 if lead < 0xE0 else 3 if lead < 0xF0 else 4):
+                return raw[:-k].decode(), raw[-k:]
+            break
+    return raw.decode(), b""
 
 
 def chunks_of(text: Column) -> Column:
@@ -217,15 +267,14 @@ def count_tokens(docs: DataFrame, model_file: str, limit: int = LIMIT) -> DataFr
     """doc_id, n_bytes, n_tokens and over_limit of every document."""
     shared = in_small_batches(docs).sparkSession.sparkContext.broadcast(Transducer.load(model_file))  # the size of the vocabulary
 
-    @F.pandas_udf(MAP)
-    def mapped(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("binary")
+    def mapped(chunks: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in chunks:
-            yield pd.DataFrame([shared.value.chunk_map(c) for c in part], columns=["open", "head", "count", "tail"])
+            yield pd.Series([pickle.dumps(shared.value.chunk_map(c)) for c in part], dtype=object)
 
     @F.pandas_udf("long")
     def scanned(lists: pd.Series) -> pd.Series:
-        order = ("open", "head", "count", "tail")
-        return pd.Series([shared.value.scan([tuple(m["m"][c] for c in order) for m in maps]) for maps in lists], dtype=int)
+        return pd.Series([shared.value.scan([pickle.loads(m["m"]) for m in maps]) for maps in lists], dtype=int)
 
     text = F.coalesce("text", F.lit(""))
     # Numbered below the explode: in one projection with it, every chunk would get a number of its own.

@@ -37,6 +37,22 @@ def test_random_texts_in_chunks_of_any_size(sp, transducer):
         assert [count(transducer, text, c) for c in (1, 2, 5, 17, 1 << 20)] == [want] * 5, repr(text)
 
 
+def test_texts_without_spaces_by_tables(sp, monkeypatch):
+    """Every part of a text gets a table; the states that arrive are found in it, or walk along the bytes."""
+    monkeypatch.setattr(tokens, "SHORT", 40)
+    t = tokens.Transducer.load(MODEL)
+    draw, walked = random.Random(4), []
+    plain = t.onward
+    monkeypatch.setattr(t, "onward", lambda now, part: (walked.append(part[1] is None and len(part[0]) > 200), plain(now, part))[1])
+    texts = ["=" * 3001, "ab" * 1500, "日本語한" * 400, "internationalization" * 120, "𝄞é" * 500, "x" * 999 + " " + "y" * 999]
+    texts += ["".join(draw.choices("abcdeinorst", k=2500)) for _ in range(20)]
+    texts += ["".join(draw.choices(["th", "ing", "ß", "日", "😀", "0", "9", "_", "/"], k=1500)) for _ in range(20)]
+    for text in texts:
+        for c in (500, 701):
+            assert count(t, text, c) == len(sp.encode(text)), text[:40]
+    assert sum(walked) < 0.2 * len(walked)
+
+
 def test_states_may_be_forgotten(sp, monkeypatch):
     t = tokens.Transducer.load(MODEL)
     monkeypatch.setattr(tokens, "MOST_STATES", 50)
