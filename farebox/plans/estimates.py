@@ -45,15 +45,14 @@ def totals(rows: DataFrame, first: int, last: int) -> DataFrame:
 
 def estimates(blocks: DataFrame, m: int) -> DataFrame:
     """(measure, estimate, half) from the totals of m blocks."""
-    means = blocks.agg(*(F.avg(c).alias(f"m_{c}") for c in ("n", "s", "known")))
+    means = blocks.agg(*(F.avg(c).alias(f"m_{c}") for c in ("s", "known")))
     ratio = F.try_divide(F.col("m_s"), F.col("m_known"))
-    off = blocks.crossJoin(F.broadcast(means))  # one row
-    left = F.col("s") - ratio * F.col("known")
-    spread = off.agg(
-        F.first("m_n").alias("m_n"),
-        F.first("m_s").alias("m_s"),
-        F.first(ratio).alias("ratio"),
-        F.first("m_known").alias("m_known"),
+    left = F.col("s") - means.select(ratio).scalar() * F.col("known")
+    spread = blocks.agg(
+        F.avg("n").alias("m_n"),
+        F.avg("s").alias("m_s"),
+        F.try_divide(F.avg("s"), F.avg("known")).alias("ratio"),
+        F.avg("known").alias("m_known"),
         F.var_samp("n").alias("v_n"),
         F.var_samp("s").alias("v_s"),
         (F.sum(left * left) / (m - 1)).alias("v_r"),

@@ -45,10 +45,9 @@ def spearman(rows: DataFrame, x: str, y: str) -> DataFrame:
 
     placed = both.join(ranked(x, "a"), x).join(ranked(y, "b"), y)
     total = F.sum(repeated)
-    middle = (total + 1) / 2
-    # Around the middle rank, which is the mean of both.
-    centred = placed.crossJoin(F.broadcast(both.agg(middle.alias("middle"))))  # one row
-    a, b = F.col("a") - F.col("middle"), F.col("b") - F.col("middle")
+    middle = both.agg((total + 1) / 2).scalar()
+    centred = placed.select("n_rows", (F.col("a") - middle).alias("a"), (F.col("b") - middle).alias("b"))  # the mean of both ranks is in the middle
+    a, b = F.col("a"), F.col("b")
     sums = centred.agg(F.sum(repeated * a * b).alias("ab"), F.sum(repeated * a * a).alias("aa"), F.sum(repeated * b * b).alias("bb"), total.alias("n"))
     return sums.select("n", F.try_divide(F.col("ab"), F.sqrt(F.col("aa") * F.col("bb"))).alias("rho"))
 
@@ -73,9 +72,9 @@ def kolmogorov_tail(lam: Column) -> Column:
 def ks_one_sample(rows: DataFrame, value: str, cdf: Callable[[Column], Column]) -> DataFrame:
     """n, statistic and p value of the values against a distribution: the greatest distance on either side of a step."""
     counts = value_counts(rows, value)
-    n = rows.where(F.col(value).isNotNull()).agg(F.count("*").alias("total"))
+    n = rows.where(F.col(value).isNotNull()).agg(F.count("*")).scalar()
     at = cdf(F.col(value))
-    each = counts.crossJoin(F.broadcast(n))  # one row
+    each = counts.withColumn("total", n)
     above, below = F.col("n_upto") / F.col("total") - at, at - (F.col("n_upto") - F.col("n")) / F.col("total")
     worst = each.agg(F.max(F.greatest(above, below)).alias("statistic"), F.first("total").alias("n"))
     return worst.select("n", "statistic", kolmogorov_tail(F.sqrt(F.col("n").cast("double")) * F.col("statistic")).alias("p_value"))
@@ -84,8 +83,8 @@ def ks_one_sample(rows: DataFrame, value: str, cdf: Callable[[Column], Column])
 def ks_two_samples(rows: DataFrame, value: str, first: Column) -> DataFrame:
     """n, statistic and p value of the rows where ``first`` holds against the others."""
     counts = value_counts(rows, value, F.count_if(first).alias("a"), F.count_if(~first).alias("b"))
-    sizes = rows.where(F.col(value).isNotNull()).agg(F.count_if(first).alias("all_a"), F.count_if(~first).alias("all_b"))
-    each = counts.crossJoin(F.broadcast(sizes))  # one row
+    known = rows.where(F.col(value).isNotNull())
+    each = counts.withColumn("all_a", known.agg(F.count_if(first)).scalar()).withColumn("all_b", known.agg(F.count_if(~first)).scalar())
     apart = F.abs(F.col("a_upto") / F.col("all_a") - F.col("b_upto") / F.col("all_b"))
     worst = each.agg(F.max(apart).alias("statistic"), F.first("all_a").alias("all_a"), F.first("all_b").alias("all_b"))
     size = F.col("all_a") * F.col("all_b") / (F.col("all_a") + F.col("all_b"))

@@ -69,9 +69,10 @@ def nearest(vectors: DataFrame, given: DataFrame, top: int) -> DataFrame:
     if some.limit(MOST_GIVEN + 1).count() > MOST_GIVEN:
         raise ValueError(f"more than {MOST_GIVEN} words are given")
     asked = vectors.join(F.broadcast(some), "word").select(F.col("word").alias("given"), F.col("vector").alias("at"))
-    asked = workspace.stored(asked, "given-words")
+    asked = workspace.stored(asked, "given-words").agg(F.collect_list(F.struct("given", "at")))  # MOST_GIVEN rows at most
     cosine = F.aggregate(F.zip_with("vector", "at", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
-    scored = vectors.join(F.broadcast(asked), F.col("word") != F.col("given")).select("given", "word", (F.round(cosine, 6) + 0).alias("cosine"))
+    met = vectors.select("word", "vector", F.inline(asked.scalar())).where(F.col("word") != F.col("given"))
+    scored = met.select("given", "word", (F.round(cosine, 6) + 0).alias("cosine"))
     order = Window.partitionBy("given").orderBy(F.desc("cosine"), "word")  # cut to ``top`` rows before the shuffle
     return scored.withColumn("place", F.row_number().over(order)).where(F.col("place") <= top).select("given", "place", "word", "cosine")
 
