@@ -21,6 +21,13 @@ def test_jobs_give_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_hashed_vectors_stay_sparse(spark):
+    """A vector of 2^18 entries is never spread out: that is 2 MB for each row."""
+    rows = QUERIES["ml_encoding_fitted"](spark, SF)
+    assert "UDF(hashed" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert {r.hashed_values for r in rows.collect()} <= {2, 3}
+
+
 def test_seeded_jobs_repeat(spark):
     for name in ("taxi_sample", "sample_uniform", "src_random_tables"):
         first, second = (sorted(map(str, QUERIES[name](spark, SF).collect())) for _ in range(2))
