@@ -6,23 +6,22 @@ apart, longer ones a tenth of the words of the longer line (two from twenty on);
 ordered by (doc_id, row, line); nulls come last. Whether a line goes depends on earlier lines of the corpus, whether
 those stay or not, so the answer does not depend on a processing order.
 
-Every step is linear in the lines:
-
 1. Equal lines meet first, by a 128-bit hash, combined before the shuffle; what follows sees distinct lines only.
-2. Two lines one word apart share their first or their last g words, where g is the largest power of two up to half of
-   the shorter length. Lines that share neither with any other line need no variants of single words.
+2. Lines under twenty words: two lines one word apart share their first or their last g words, where g is the largest
+   power of two up to half of the shorter length. Lines that share neither with any other line need no variants.
 3. The others emit their deletion neighbourhood as hashed keys: for every position the line without that word, with
    the position (two lines with such a key in common differ by a replaced word), and the line with and without each
    word (a whole line that equals a shortened one differs by a word put in).
-4. Lines of twenty words or more are cut as well, after each word that ends in a vowel or a mark and is the sixth of
-   its piece or a later one: soon after an edit, both lines are cut at the same places again. Their variants are what
-   is left when all pieces but one are deleted: a line with edits in a tenth of its words nearly always has a piece
-   without any.
-5. Per key only the earliest holder of either kind is needed, so no pairs are made, however many lines share a key.
-   Each line with an earlier holder is verified against that holder's words by their edit distance within the bound.
+4. Where one of the two lines has twenty words or more, their variants are what is left when all words but two
+   neighbouring ones are deleted. An edit touches two such pairs of words at most, so of the 2k+1 rarest pairs of a line
+   k edits leave one or more as they are, and the rarest of those is among the 2k+1 rarest of the other line, too.
+   Rarity is counted over the whole corpus, in a table of fixed size by the hash of a word; it decides what meets, and
+   so the cost, not the result.
+5. Per key the earliest holder is tried first, so no pairs are made where many lines are near the same one. A line that
+   is not within the bound of any of them meets all other earlier holders of its keys of a length within the bound.
+   Each link is verified by the edit distance in words.
 
-All lines one edit apart are found. Of lines further apart those are, that have an earlier line within the bound as
-the first holder of one of their pieces; the README gives the measured share.
+All lines within the bound of an earlier one are found.
 
 Defined cases: null and empty texts have no lines to drop; lines without words stay; repeated rows lose all their lines
 but those of the first; a null doc_id comes after all others; an empty table gives no rows; other columns stay as they
@@ -33,10 +32,12 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
+import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from farebox import workspace
@@ -45,11 +46,15 @@ from farebox.llm.common import frames, in_small_batches, utf8, vectorized
 MIN_NEAR_WORDS = 10
 WHOLE, SHORT, REPLACED = 0, 1, 2
 
-MIN_CUT_WORDS = 20
-MIN_PIECE_WORDS = 6
+MIN_LONG_WORDS = 20  # from here on more than one edit
 EDIT_SHARE = 10  # one edit for so many words
+MIN_PAIRED_WORDS = MIN_LONG_WORDS - MIN_LONG_WORDS // EDIT_SHARE  # may be near a line of MIN_LONG_WORDS
+WORD_SLOTS = 1 << 16
+HELD_WORDS = 50_000  # of which a task takes the pairs, or the counts, at a time
+HELD_LINES = 500_000  # of which a task knows that it has seen them
 
-LINE = "row long, doc_id long, line int, id binary, n int, ends array<long>, parts array<long>"
+LINE = "row long, doc_id long, line int, id binary, n int"
+KEY = "key long, no long"
 TEXT = "id binary, text binary"
 VARIANT = "key long, kind int, ord long"
 
@@ -80,23 +85,29 @@ def end_keys(words: list[bytes]) -> list[int]:
     return keys
 
 
-CUT_AFTER = "aeiou.!?,;:"
-_CUTS = CUT_AFTER.encode()
+def most_edits(n: int | np.ndarray) -> int | np.ndarray:
+    """The bound between a line of n words and the longest line that may be within it: N with N - N // 10 <= n."""
+    return n // (EDIT_SHARE - 1)
+
 
+def rare_pairs(lines: list[list[bytes]], seen: np.ndarray) -> list[np.ndarray]:
+    """Per line the hashes of its rarest pairs of neighbouring words: as many as its edits can touch, and one more.
 
-def part_keys(words: list[bytes]) -> list[int]:
-    """Hashes of the pieces of a line, where it is long enough to be cut."""
-    if len(words) < MIN_CUT_WORDS:
-        return []
-    keys, start, n = set(), 0, len(words)
-    at = MIN_PIECE_WORDS - 1
-    while at < n:
-        if words[at][-1] in _CUTS:
-            keys.add(_long(b" ".join(words[start : at + 1]), 0))
-            start, at = at + 1, at + MIN_PIECE_WORDS
-        else:
-            at += 1
-    return list(keys)
+    ``seen`` tells how common the words of a slot are. Pairs are ordered by their rarer word, the other one and the hash.
+    """
+    sizes = np.fromiter(map(len, lines), np.int64, len(lines))
+    words = np.fromiter((xxhash.xxh64_intdigest(word, 42) for line in lines for word in line), np.uint64, sizes.sum())
+    line = np.repeat(np.arange(len(lines)), sizes)
+    inside = np.flatnonzero(line[1:] == line[:-1])
+    line, first, second = line[inside], words[inside], words[inside + 1]
+    key = (first ^ (second >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
+    key ^= key >> np.uint64(32)
+    a, b = (seen[(w & np.uint64(WORD_SLOTS - 1)).astype(np.int64)].astype(np.int64) for w in (first, second))
+    order = np.lexsort((key, np.maximum(a, b), np.minimum(a, b), line))
+    starts = np.concatenate(([0], np.cumsum(sizes - 1)))
+    taken = 2 * most_edits(sizes) + 1
+    key = key[order].view(np.int64)
+    return [np.unique(key[at : at + n]) for at, n in zip(starts, taken)]
 
 
 def bound(n: int) -> int:
@@ -167,18 +178,90 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
     return a[at + (len(a) == len(b)) :] == b[at + 1 :]
 
 
+def line_no(id: bytes) -> int:
+    """A number for a line's id, as ``xxhash64`` has it. Lines that share one share what they may be near to, no more."""
+    value = xxhash.xxh64_intdigest(id, 42)
+    return value - (1 << 64) if value >> 63 else value
+
+
+def _counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    seen, held = np.zeros(WORD_SLOTS, np.int64), Counter()
+
+    def add():
+        slots = np.fromiter((xxhash.xxh64_intdigest(word, 42) % WORD_SLOTS for word in held), np.int64, len(held))
+        np.add.at(seen, slots, np.fromiter(held.values(), np.int64, len(held)))
+        held.clear()
+
+    for batch in batches:
+        for text in batch["text"]:
+            held.update(text.lower().split())
+            if len(held) >= HELD_WORDS:
+                add()
+    add()
+    slots = np.flatnonzero(seen)
+    yield pd.DataFrame({"slot": slots, "n": seen[slots]})
+
+
+def common_words(docs: DataFrame) -> np.ndarray:
+    """How often the words of each of ``WORD_SLOTS`` slots come in the texts, as a byte each on a scale of logarithms."""
+    counted = docs.select("text").mapInPandas(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n"))
+    seen = np.zeros(WORD_SLOTS, np.uint8)
+    for slot, n in counted.collect():  # a row for each slot at most
+        seen[slot] = min(int(np.log2(n) * 8), 255)
+    return seen
+
+
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """A row for each line with words, and one (line -1) for the document itself."""
 
     def rows():
         for batch in batches:
             for row, doc_id, text in zip(batch["row"], batch["doc_id"], batch["text"]):
-                yield row, doc_id, -1, None, 0, None, None
+                yield row, doc_id, -1, None, 0
                 for at, line in enumerate(text.split(b"\n")):
                     if words := line_words(line):
-                        yield row, doc_id, at, line_id(words), len(words), end_keys(words), part_keys(words)
-
-    yield from frames(rows(), ["row", "doc_id", "line", "id", "n", "ends", "parts"])
+                        yield row, doc_id, at, line_id(words), len(words)
+
+    yield from frames(rows(), ["row", "doc_id", "line", "id", "n"])
+
+
+def _keys(batches: Iterator[pd.DataFrame], seen: np.ndarray) -> Iterator[pd.DataFrame]:
+    """The ends and pairs of each line; the last bit of a key tells the two apart. Few of the copies in a task come twice."""
+    known: set[int] = set()
+    held: list[tuple[int, list[bytes]]] = []
+
+    def taken():
+        pairs = rare_pairs([words for _, words in held], seen)
+        nos = np.repeat(np.array([no for no, _ in held], np.int64), [len(p) for p in pairs])
+        frame = pd.DataFrame({"key": np.concatenate(pairs) & np.int64(-2), "no": nos})
+        held.clear()
+        return frame
+
+    n_held, ends = 0, []
+    for batch in batches:
+        for text in batch["text"]:
+            for line in text.split(b"\n"):
+                n = len(words := line_words(line))
+                if n < MIN_NEAR_WORDS or (no := line_no(line_id(words))) in known:
+                    continue
+                if len(known) >= HELD_LINES:
+                    known.clear()
+                known.add(no)
+                if n < MIN_LONG_WORDS:
+                    ends += [(key | 1, no) for key in end_keys(words)]
+                if n >= MIN_PAIRED_WORDS:
+                    held.append((no, words))
+                    n_held += n
+                    if n_held >= HELD_WORDS:
+                        yield taken()
+                        n_held = 0
+            if len(ends) >= HELD_WORDS:
+                yield pd.DataFrame(ends, columns=["key", "no"])
+                ends = []
+    if held:
+        yield taken()
+    if ends:
+        yield pd.DataFrame(ends, columns=["key", "no"])
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -237,37 +320,31 @@ def split(docs: DataFrame) -> DataFrame:
 
 
 def distinct_lines(lines: DataFrame) -> DataFrame:
-    return workspace.stored(
-        lines.where("line >= 0")
-        .groupBy("id")
-        .agg(
-            F.min(place()).alias("first"),
-            F.count(F.lit(1)).alias("copies"),
-            F.first("n").alias("n"),
-            F.first("ends").alias("ends"),
-            F.first("parts").alias("parts"),
-        )
-        .withColumn("no", F.monotonically_increasing_id()),
-        "lines-distinct",
-    )
+    found = lines.where("line >= 0").groupBy("id").agg(F.min(place()).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    return workspace.stored(found, "lines-distinct")
 
 
 def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(id) of the distinct lines that have an earlier line within the bound."""
-    # A row of two numbers for each end and piece; the last bit of a key tells the two apart.
     is_end = F.col("key").bitwiseAND(F.lit(1)) == 1
-    ends = F.transform("ends", lambda k: k.bitwiseOR(F.lit(1)))
-    parts = F.transform("parts", lambda k: k.bitwiseAND(F.lit(-2)))
-    keyed = distinct.where(F.col("n") >= MIN_NEAR_WORDS).select("no", F.explode(F.concat(ends, parts)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    met = keyed.join(shared, "key", "left_semi")
-    own_parts = F.collect_set(F.when(~is_end, F.col("key")))  # of a line's own pieces
-    candidates = met.groupBy("no").agg(F.max(is_end).alias("by_end"), own_parts.alias("shared_parts"))
+    keyed = docs.select("text").mapInPandas(partial(_keys, seen=common_words(docs)), KEY)
+    # A row is two numbers, and most keys have one line: one shuffle of them all, for the keys that have several.
+    key = Window.partitionBy("key")
+    met = keyed.withColumn("low", F.min("no").over(key)).withColumn("high", F.max("no").over(key)).where("low < high")
+    own_pairs = F.collect_set(F.when(~is_end, F.col("key")))  # of a line's own pairs
+    candidates = met.groupBy("no").agg(F.max(is_end).alias("by_end"), own_pairs.alias("shared_pairs"))
     # Sorted by place, so that the row numbers below grow with it: one long for both identity and order.
-    placed = distinct.select("no", "id", "first").join(candidates, "no").orderBy("first")
-    some = workspace.stored(placed.select("id", F.monotonically_increasing_id().alias("ord"), "by_end", "shared_parts"), "lines-candidates")
+    placed = distinct.select(F.xxhash64("id").alias("no"), "id", "n", "first").join(candidates, "no").orderBy("first")
+    some = workspace.stored(placed.select("id", F.monotonically_increasing_id().alias("ord"), "n", "by_end", "shared_pairs"), "lines-candidates")
     found = docs.select("text").mapInPandas(_texts, TEXT).join(some.select("id", "ord", "by_end"), "id")
     texts = workspace.stored(found.groupBy("ord").agg(F.first("text").alias("text"), F.first("by_end").alias("by_end")), "lines-texts")
+
+    def verified(links: DataFrame) -> DataFrame:
+        """(ord) of the lines with a link (ord, other) within the bound."""
+        others = texts.select(F.col("ord").alias("other"), F.col("text").alias("other_text"))
+        met = links.join(texts.select("ord", "text"), "ord").join(others, "other")
+        return met.where(near_enough("text", "other_text")).select("ord").distinct()
+
     variants = texts.where("by_end").select("ord", "text").mapInPandas(_variants, VARIANT)
     earliest = (
         variants.groupBy("key")
@@ -284,12 +361,17 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
         .otherwise(F.col(f"of_{WHOLE}"))
     )
     links = variants.join(earliest, "key").select("ord", other.alias("other")).where("other < ord")
-    by_part = some.select("ord", F.explode("shared_parts").alias("part"))
-    first_holder = by_part.groupBy("part").agg(F.min("ord").alias("other"))
-    links = links.union(by_part.join(first_holder, "part").select("ord", "other").where("other < ord")).distinct()
-    others = texts.select(F.col("ord").alias("other"), F.col("text").alias("other_text"))
-    verified = links.join(texts.select("ord", "text"), "ord").join(others, "other").where(near_enough("text", "other_text"))
-    return some.join(verified.select("ord").distinct(), "ord").select("id")
+    by_pair = some.select("ord", "n", F.explode("shared_pairs").alias("pair"))
+    holders = by_pair.groupBy("pair").agg(F.min_by("n", "ord").alias("other_n"), F.min("ord").alias("other"))
+    long = F.greatest("n", "other_n")
+    alike = (F.col("other") < F.col("ord")) & (long >= MIN_LONG_WORDS) & (F.abs(F.col("n") - F.col("other_n")) <= F.floor(long / EDIT_SHARE))
+    first = by_pair.join(holders, "pair").where(alike).select("ord", "other")
+    near = workspace.stored(verified(links.union(first).distinct()), "lines-near")
+    # What is still open meets the holders after the first.
+    left = by_pair.join(near, "ord", "left_anti").join(holders.select("pair", F.col("other").alias("tried")), "pair").where("tried < ord")
+    later = by_pair.select("pair", F.col("ord").alias("other"), F.col("n").alias("other_n"))
+    rest = left.join(later, "pair").where(alike & (F.col("other") > F.col("tried"))).select("ord", "other").distinct()
+    return some.join(near.union(verified(rest)), "ord").select("id")
 
 
 def repeated(docs: DataFrame, lines: DataFrame) -> DataFrame:
@@ -356,8 +438,10 @@ l AS (SELECT rid, doc_id, k, ws, len(ws) AS n, array_to_string(ws, ' ') AS line,
 u AS (SELECT line, min(pos) AS pos, any_value(ws) AS ws, any_value(n) AS n FROM l GROUP BY line),
 v AS (SELECT pos, line, n, i, array_to_string(list_concat(ws[1:i-1], ws[i+1:n]), ' ') AS rest
       FROM (SELECT pos, line, ws, n, unnest(range(1, n + 1)) AS i FROM u WHERE n >= {MIN_NEAR_WORDS})),
-parts AS (SELECT DISTINCT pos, rtrim(part) AS part FROM (SELECT pos, unnest(regexp_extract_all(line, '(?:[^ ]+ ){{{MIN_PIECE_WORDS - 1},}}?[^ ]*[{CUT_AFTER}](?: |$)')) AS part FROM u WHERE n >= {MIN_CUT_WORDS})),
-links AS (SELECT DISTINCT pos, least FROM (SELECT pos, min(pos) OVER (PARTITION BY part) AS least FROM parts) WHERE least < pos),
+-- Of a line of twenty words or more, edits in a tenth of them leave six words in a row as they are.
+runs AS (SELECT DISTINCT pos, n, run FROM (SELECT pos, n, array_to_string(ws[i:i+5], ' ') AS run FROM (SELECT pos, ws, n, unnest(range(1, n - 4)) AS i FROM u WHERE n >= {MIN_PAIRED_WORDS}))),
+links AS (SELECT DISTINCT a.pos, b.pos AS least FROM runs a JOIN runs b ON a.run = b.run AND b.pos < a.pos
+          WHERE greatest(a.n, b.n) >= {MIN_LONG_WORDS} AND abs(a.n - b.n) <= greatest(a.n, b.n) // {EDIT_SHARE}),
 words AS (SELECT word, row_number() OVER () AS id FROM (SELECT DISTINCT unnest(ws) AS word FROM u WHERE pos IN (SELECT pos FROM links UNION SELECT least FROM links))),
 coded AS (SELECT pos, list(id ORDER BY i) AS ids FROM (SELECT pos, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM u WHERE pos IN (SELECT pos FROM links UNION SELECT least FROM links))
           JOIN words USING (word) GROUP BY 1),

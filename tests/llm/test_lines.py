@@ -1,5 +1,6 @@
 import itertools
 import random
+from collections import Counter
 
 from farebox.llm import lines
 from tests.llm.conftest import EXTRA, SENTENCE
@@ -17,7 +18,7 @@ def distance(a, b):
 def brute(docs):
     """(doc index, line number, near) of the lines to drop. ``docs``: (doc_id, text) with ids in order."""
     order = sorted(range(len(docs)), key=lambda i: (docs[i][0] is None, docs[i][0] or 0, i))
-    earlier, equal, out, holder = [], set(), set(), {}
+    earlier, equal, out = [], set(), set()
     for i in order:
         for k, line in enumerate((docs[i][1] or "").split("\n")):
             words = lines.line_words(line.encode())
@@ -26,28 +27,23 @@ def brute(docs):
             if tuple(words) in equal:
                 out.add((i, k))
                 continue
-            if len(words) >= lines.MIN_NEAR_WORDS and any(
-                len(o) >= lines.MIN_NEAR_WORDS and abs(len(o) - len(words)) <= 1 and distance(o, words) <= 1 for o in earlier
-            ):
+            if len(words) >= lines.MIN_NEAR_WORDS and any(near(o, words) for o in earlier):
                 out.add((i, k))
-            if len(words) >= lines.MIN_CUT_WORDS:
-                parts, piece = set(), []
-                for word in words:
-                    piece.append(word)
-                    if len(piece) >= lines.MIN_PIECE_WORDS and word[-1:] in b"aeiou.!?,;:":
-                        parts.add(tuple(piece))
-                        piece = []
-                for o in {tuple(holder[p]) for p in parts if p in holder}:
-                    most = max(len(o), len(words)) // lines.EDIT_SHARE
-                    if abs(len(o) - len(words)) <= most and distance(list(o), words) <= most:
-                        out.add((i, k))
-                for p in parts:
-                    holder.setdefault(p, words)
             earlier.append(words)
             equal.add(tuple(words))
     return out
 
 
+def near(a, b):
+    """Whether two lines are within the bound: the words of one that the other lacks are counted first, to be quick."""
+    if min(len(a), len(b)) < lines.MIN_NEAR_WORDS:
+        return False
+    most = max(1, max(len(a), len(b)) // lines.EDIT_SHARE)
+    if abs(len(a) - len(b)) > most or (Counter(a) - Counter(b)).total() > most:
+        return False
+    return distance(a, b) <= most
+
+
 def test_within_is_edit_distance():
     draw = random.Random(3)
     for _ in range(3000):
@@ -123,6 +119,37 @@ def test_bound_grows_with_the_line(spark):
     assert sum((i, 0) in got for i in beyond) < 0.1 * len(beyond) and not any((i, 1) in got for i in within + beyond)
 
 
+def test_every_edited_line_is_found(spark):
+    """Edits dealt evenly, so that no run of more than a few words stays, and the first holder of what stays is another line."""
+    draw = random.Random(21)
+    word = lambda: f"w{draw.randint(0, 300)}"
+    docs, planted = [], []
+    for i in range(150):
+        n = draw.randint(20, 60)
+        base = [word() for _ in range(n)]
+        most = lines.bound(n)
+        copy = list(base)
+        for j in range(most):
+            copy[(2 * j + 1) * n // (2 * most)] = f"x{i}x{j}"
+        decoy = [w for k in range(0, n, 6) for w in (*base[k : k + 6], word(), word())]  # all pieces of the line, but far from it
+        docs += [(3 * i, " ".join(decoy)), (3 * i + 1, " ".join(base)), (3 * i + 2, " ".join(copy))]
+        planted.append(3 * i + 2)
+    rows = lines.judge(spark.createDataFrame(docs, "doc_id long, text string").repartition(5)).collect()
+    got = {(r.doc_id, int(k)) for r in rows for k in r.dropped_lines.split(",") if k}
+    assert got == brute(docs)
+    assert {(i, 0) for i in planted} <= got
+
+
+def test_lines_on_both_sides_of_twenty_words(spark):
+    """A line of 18 or 19 words may be two edits from one of 20, but not from one of its own length."""
+    words = [f"w{i}" for i in range(20)]
+    docs = [(1, " ".join(words)), (2, " ".join(words[1:10] + words[11:])), (3, " ".join(["new"] + words[1:10] + words[11:]))]
+    far = [f"v{i}" for i in range(19)]
+    docs += [(4, " ".join(far)), (5, " ".join(["new", *far[1:18], "other"]))]
+    rows = lines.judge(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id for r in rows if r.n_near} == {2, 3}
+
+
 def test_one_key_shared_by_many_lines(spark):
     """Lines that differ in one place: all but the first go, without pairs."""
     docs = [(i, SENTENCE.replace("many", f"word{i}")) for i in range(3000)]
