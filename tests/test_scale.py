@@ -1,6 +1,7 @@
 """The helpers for busy keys against plain Python, on rows where one key has most of them."""
 
 import random
+import time
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from farebox import scale
+from farebox import scale, workspace
 from farebox.operators.windows import trailing_totals
 
 
@@ -139,3 +140,20 @@ def test_trailing_totals_are_exact(spark):
     want = {r.id: (r.n, r.total) for r in plain.collect()}
     assert got == want
     assert any(total is None for _, total in want.values()) and any(n > 5 for n, _ in want.values())
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    """The shuffle files of a step go when it is written; the session's setting stays as it was."""
+
+    def shuffled():
+        files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for f in (files.apply(i).getName() for i in range(files.size())) if f.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get(workspace.SHUFFLE_CLEANUP, None)
+    rows = workspace.stored(spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count(), "no-shuffle")
+    for _ in range(50):
+        if left := shuffled() - before:
+            time.sleep(0.2)
+    assert not left
+    assert spark.conf.get(workspace.SHUFFLE_CLEANUP, None) == setting
+    assert rows.count() == 7
