@@ -22,39 +22,49 @@ MOST_GIVEN = 1000
 
 
 def neighbours(docs: DataFrame, window: int) -> DataFrame:
-    """(a, b, n): how often b stands within ``window`` words of a, on either side."""
+    """(u, v, n) with u <= v: how often the two words stand within ``window`` words of each other. One row for both ways."""
     words = docs.where("text IS NOT NULL").select(F.regexp_extract_all(F.lower("text"), F.lit(WORDS), F.lit(0)).alias("w"))
-    pairs = None
+    met = []
     for apart in range(1, window + 1):
         left = F.slice("w", F.lit(1), F.greatest(F.size("w") - apart, F.lit(0)))
         right = F.slice("w", F.lit(1 + apart), F.greatest(F.size("w") - apart, F.lit(0)))
-        met = words.select(F.explode(F.arrays_zip(left.alias("a"), right.alias("b"))).alias("p")).select("p.a", "p.b")
-        pairs = met if pairs is None else pairs.union(met)
-    counted = workspace.stored(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "word-pairs")
-    # Turned round after counting, when there is a row for each pair only.
-    return counted.union(counted.select(F.col("b").alias("a"), F.col("a").alias("b"), "n")).groupBy("a", "b").agg(F.sum("n").alias("n"))
+        met.append(F.arrays_zip(left.alias("a"), right.alias("b")))
+    pairs = words.select(F.explode(F.concat(*met)).alias("p")).select(F.least("p.a", "p.b").alias("u"), F.greatest("p.a", "p.b").alias("v"))
+    counted = pairs.groupBy("u", "v").agg(F.count("*").alias("n"))
+    # A word next to itself is met from either side.
+    return counted.select("u", "v", F.when(F.col("u") == F.col("v"), 2 * F.col("n")).otherwise(F.col("n")).alias("n"))
 
 
-def signs(word: Column) -> list[Column]:
-    digest = F.md5(word)
-    return [F.when(F.substring(digest, j + 1, 1) < "8", 1.0).otherwise(-1.0) for j in range(SIZE)]
+def sign_bits(word: Column) -> Column:
+    """The ``SIZE`` signs of a word in one number: bit j is set where digit j of the hash is 8 or more."""
+    digits = F.translate(F.md5(word), "0123456789abcdef", "0" * 8 + "1" * 8)
+    return F.conv(F.reverse(digits), 2, 10).cast("long")
 
 
 def word_vectors(docs: DataFrame, window: int = 2, least: int = 1) -> DataFrame:
     """(word, n, vector): vectors of length 1 of the words that have ``least`` neighbours or more.
 
-    A word that meets none oftener than chance has the vector 0.
+    A word that meets none oftener than chance has the vector 0. A pair's weight is the same for both of its words, so
+    it is joined to their totals once and dealt out after.
     """
     pairs = workspace.stored(neighbours(docs, window), "word-neighbours")
-    sizes = workspace.stored(pairs.groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("total")), "word-totals")
-    kept = sizes.where(F.col("total") >= least)
+    ends = F.when(F.col("u") == F.col("v"), F.array("u")).otherwise(F.array("u", "v"))
+    totals = pairs.select(F.explode(ends).alias("word"), "n").groupBy("word").agg(F.sum("n").alias("total"))
+    sizes = workspace.stored(totals.withColumn("bits", sign_bits(F.col("word"))), "word-totals")
     total = sizes.agg(F.sum("total")).first()[0] or 0
-    of_b = sizes.select(F.col("word").alias("b"), F.col("total").alias("total_b"))
-    met = pairs.join(kept.select(F.col("word").alias("a"), F.col("total").alias("total_a")), "a").join(of_b, "b")
-    weight = F.greatest(F.log(F.col("n") * F.lit(float(total)) / (F.col("total_a").cast("double") * F.col("total_b"))), F.lit(0.0))
-    signed = met.select("a", "total_a", weight.alias("weight"), *(s.alias(f"s{j}") for j, s in enumerate(signs(F.col("b")))))
-    sums = signed.groupBy("a").agg(F.first("total_a").alias("n"), *(F.sum(F.col("weight") * F.col(f"s{j}")).alias(f"v{j}") for j in range(SIZE)))
-    raw = sums.select(F.col("a").alias("word"), "n", F.array(*(F.col(f"v{j}") for j in range(SIZE))).alias("v"))
+
+    def of(side: str) -> DataFrame:  # a row for each word: the side to hash
+        return sizes.select(F.col("word").alias(side), F.col("total").alias(f"total_{side}"), F.col("bits").alias(f"bits_{side}")).hint("shuffle_hash")
+
+    met = pairs.join(of("u"), "u").join(of("v"), "v")
+    weight = F.greatest(F.log(F.col("n") * F.lit(float(total)) / (F.col("total_u").cast("double") * F.col("total_v"))), F.lit(0.0))
+    to_u = F.struct(F.col("u").alias("word"), F.col("total_u").alias("n"), F.col("bits_v").alias("bits"))
+    to_v = F.struct(F.col("v").alias("word"), F.col("total_v").alias("n"), F.col("bits_u").alias("bits"))
+    both = F.when(F.col("u") == F.col("v"), F.array(to_u)).otherwise(F.array(to_u, to_v))
+    dealt = met.select(weight.alias("weight"), F.inline(both)).where(F.col("n") >= least)
+    signed = [F.when(F.col("bits").bitwiseAND(F.lit(1 << j)) == 0, F.col("weight")).otherwise(-F.col("weight")) for j in range(SIZE)]
+    sums = dealt.groupBy("word").agg(F.first("n").alias("n"), *(F.sum(s).alias(f"v{j}") for j, s in enumerate(signed)))
+    raw = sums.select("word", "n", F.array(*(F.col(f"v{j}") for j in range(SIZE))).alias("v"))
     length = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
     unit = F.when(length > 0, F.transform("v", lambda x: x / length)).otherwise(F.col("v"))
     return raw.select("word", "n", unit.alias("vector"))

@@ -299,6 +299,13 @@ def test_word_vectors_against_brute_force(spark, tables):
         assert [(r.word, r.cosine) for r in sorted(near, key=lambda r: r.place) if r.given == g] == [(w, pytest.approx(-c, abs=2e-6)) for c, w in rated]
 
 
+def test_a_pair_of_words_is_one_row(spark):
+    """Both ways are counted together, before the rows are written; a word beside itself counts from either side."""
+    docs = spark.createDataFrame([("b a b",), ("a a",), ("a b c a",), (None,)], "text string").repartition(2)
+    rows = [tuple(r) for r in words.neighbours(docs, 2).collect()]
+    assert sorted(rows) == [("a", "a", 2), ("a", "b", 4), ("a", "c", 2), ("b", "b", 2), ("b", "c", 1)]
+
+
 def test_too_many_given_words(spark, monkeypatch):
     monkeypatch.setattr(words, "MOST_GIVEN", 1)
     table = spark.createDataFrame([("a", 1, [1.0] * 32), ("b", 1, [1.0] * 32)], "word string, n bigint, vector array<double>")
