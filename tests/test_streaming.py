@@ -76,3 +76,12 @@ def test_models_on_streams_give_rows(spark, name):
         assert len(rows) == 3 and all(0 < r.x < 51 for r in rows)
     else:
         assert all(r.area > 0.7 for r in rows)
+
+
+def test_rows_of_a_user_are_one_row_of_a_batch():
+    import pandas as pd
+
+    from farebox.streaming import jobs
+
+    (found,) = jobs.combine(iter([pd.DataFrame({"user_id": [7, 8, 7, 7], "n": [1, 1, 1, 1]})]))
+    assert dict(zip(found["user_id"], found["n"])) == {7: 3, 8: 1} and list(found.columns) == ["user_id", "n"]
