@@ -41,6 +41,44 @@ def test_every_update_goes_on_from_the_table(spark, tables):
 
 
 
+class Remembered:
+    """State and timers of one user, with the messages that they took."""
+
+    def __init__(self):
+        self.value, self.map, self.timers, self.asked = None, {}, set(), []
+
+    def get(self):
+        self.asked.append("get")
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def getValue(self, key):
+        self.asked.append(key)
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.map[key] = value
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.timers.remove(at)
+
+
+def test_state_is_read_once_for_each_kind_of_event():
+    user, kept = state.UserTotals(), Remembered()
+    user.handle = user.total = user.kinds = kept
+    tally = lambda kind, n, at: {"event_type": kind, "n": n, "last_us": at}
+    assert user.add([tally("a", 2, 5_000), tally(None, 1, None), tally("a", 1, 9_000)]) == (4, 9_000, 2)
+    assert kept.asked == ["get"]  # a new user has no kinds to read
+    assert user.add([tally("a", 1, 7_000), tally("b", 1, 11_000), tally("a", 1, 8_000)]) == (7, 11_000, 3)
+    assert kept.asked == ["get", "get", ("a",), ("b",)]
+    assert kept.map == {("a",): (5,), ("",): (1,), ("b",): (1,)} and kept.timers == {11 + state.QUIET_MS}
+
+
 def steps(rows, weights, rounds):
     for i in range(1, rounds + 1):
         miss = [1 / (1 + math.exp(-(weights[0] + weights[1] * a + weights[2] * b))) - y for a, b, y in rows]
