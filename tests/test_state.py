@@ -41,6 +41,15 @@ def test_every_update_goes_on_from_the_table(spark, tables):
 
 
 
+def test_null_users_are_nobody_else(spark, tables):
+    known = events(spark, [(None, "a", 0), (None, "a", 1), (1, "a", 0), (2, "a", 1)])
+    first = events(spark, [(None, "b", 3), (1, "a", 3), (2, "a", 4)])
+    second = events(spark, [(None, "b", 6), (None, "c", 6), (1, "a", 6), (2, "a", 7)])
+    run = state.user_totals(tables, known, [first, second], "null-test")
+    found = {r.user_id: r.n for r in run.latest("user_id", "event").where("event = 'update'").collect()}
+    assert found == {None: 5, 1: 3, 2: 3}
+
+
 class Remembered:
     """State and timers of one user, with the messages that they took."""
 
