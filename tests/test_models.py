@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
-from farebox.plans import metrics
+from farebox.plans import metrics, ml_models
 from tests.conftest import SF
 
 QUERIES = entry.queries()
@@ -16,6 +16,15 @@ def test_models_beat_their_floor(spark, name):
     assert rows and all(r.good for r in rows), [r for r in rows if not r.good]
 
 
+def test_texts_are_cut_into_words_once_for_their_topics(spark, monkeypatch):
+    """The steps and measures of the topics read kept texts, which are let go at the end."""
+    seen, fit = [], ml_models.mk.LDA.fit
+    monkeypatch.setattr(ml_models.mk.LDA, "fit", lambda self, texts: seen.append((texts, texts.storageLevel.useDisk)) or fit(self, texts))
+    QUERIES["ml_cluster"](spark, SF)
+    ((texts, kept),) = seen
+    assert kept and not texts.storageLevel.useDisk
+
+
 @pytest.mark.parametrize("name", ["ml_quantile_buckets", "ml_encoding_fitted", "ml_text_vectors", "ml_selection", "ml_recommend", "ml_stages"])
 def test_jobs_give_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
