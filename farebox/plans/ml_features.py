@@ -233,9 +233,10 @@ def ml_lsh(t: Tables) -> DataFrame:
             mf.HashingTF(inputCol="words", outputCol="bag", numFeatures=1 << 16, binary=True),
         ]
     ).fit(items)
-    # A text without words has no hash and is near to none.
-    texts = workspace.stored(prepare.transform(texts.filter(r"text rlike '\\S'")).select("id", "copies", "bag"), "bags")
-    minhash = mf.MinHashLSH(inputCol="bag", outputCol="hashes", numHashTables=MINHASH_TABLES, seed=3).fit(texts)
+    # A text without words has no hash and is near to none. The join reads the hashes in several places: they are made once, and written.
+    bags = prepare.transform(texts.filter(r"text rlike '\\S'")).select("id", "copies", "bag")
+    minhash = mf.MinHashLSH(inputCol="bag", outputCol="hashes", numHashTables=MINHASH_TABLES, seed=3).fit(bags)
+    texts = workspace.stored(minhash.transform(bags), "bags")
     pairs = minhash.approxSimilarityJoin(texts, prepare.transform(items).select("id", "bag"), 0.9, distCol="distance")
     near_texts = pairs.select(
         F.lit("text").alias("kind"), F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("item"), "distance"

@@ -1,5 +1,7 @@
 """Models: above their floor, the same with the same seed, and near-duplicates against brute force."""
 
+import re
+
 import numpy as np
 import pytest
 
@@ -54,6 +56,12 @@ def test_near_texts_have_the_distance_of_their_word_sets(spark, tables):
         assert r.distance <= 0.9
 
 
+def test_hashes_of_texts_are_made_once(spark):
+    """The join reads the hashes of the texts from where they were written; it does not make them anew in each place it uses them."""
+    plan = QUERIES["ml_lsh"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Relation \[id#\d+L,copies#\d+L,bag#\d+,hashes#\d+\]", plan)
+
+
 def test_near_pairs_are_found(spark, tables):
     """Against all pairs: of the weakest pairs asked for (similarity 0.1) few may be lost, of the near vectors none."""
     rows = QUERIES["ml_lsh"](spark, SF).collect()
