@@ -254,16 +254,17 @@ def test_topics_leave_their_edges_in_place(spark):
     """A round moves sums of words and documents, never an edge, and a document in several parts is one document."""
     rows = [(i % 7, f"word{i % 5} stays word{i % 3} here{i}") for i in range(60)]
     docs = spark.createDataFrame([*rows, (None, "lost"), (1, None)], "doc_id bigint, text string").repartition(3)
-    edges, parts = topics.words_in_parts(docs)
-    found = topics.Topics(edges, 3, parts)
-    with workspace.setting(spark, topics.SHARED_KEY, "false"):
-        plan = found.messages()._jdf.queryExecution().executedPlan().toString().splitlines()
-    depth = [len(line) - len(line.lstrip(" :+-*")) for line in plan]
-    moved = [i for i, line in enumerate(plan) if "Exchange" in line]
-    assert moved and any("topic_edges" in line for line in plan)
-    for i in moved:
-        end = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
-        assert not any("topic_edges" in line for line in plan[i:end])
+    few = topics.dealt(topics.word_counts(docs), F.col("doc"), 2)  # fewer parts than shuffle partitions
+    for edges, parts in ((few, 2), topics.words_in_parts(docs)):
+        found = topics.Topics(edges, 3, parts)
+        with workspace.setting(spark, topics.SHARED_KEY, "false"), workspace.setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            plan = found.messages()._jdf.queryExecution().executedPlan().toString().splitlines()
+        depth = [len(line) - len(line.lstrip(" :+-*")) for line in plan]
+        moved = [i for i, line in enumerate(plan) if "Exchange" in line]
+        assert moved and any("topic_edges" in line for line in plan)
+        for i in moved:
+            end = next((j for j in range(i + 1, len(plan)) if depth[j] <= depth[i]), len(plan))
+            assert not any("topic_edges" in line for line in plan[i:end])
     whole = topics.Topics(topics.word_counts(docs), 3).rounds(2).describe(4).orderBy("topic", "place").collect()
     assert [tuple(r) for r in found.rounds(2).describe(4).orderBy("topic", "place").collect()] == [tuple(r) for r in whole]
 
