@@ -19,7 +19,8 @@ those stay or not, so the answer does not depend on a processing order.
    so the cost, not the result.
 5. Per key the earliest holder is tried first, so no pairs are made where many lines are near the same one. A line that
    is not within the bound of any of them meets all other earlier holders of its keys of a length within the bound.
-   Each link is verified by the edit distance in words.
+   Each link is verified by the edit distance in words. Before texts move for it, 126 parities of their word hashes are
+   compared: an edit turns two of them at most, so links that differ in more are none.
 
 All lines within the bound of an earlier one are found.
 
@@ -33,6 +34,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -55,7 +58,7 @@ HELD_LINES = 500_000  # of which a task knows that it has seen them
 
 LINE = "row long, doc_id long, line int, id binary, n int"
 KEY = "key long, no long"
-TEXT = "id binary, text binary"
+TEXT = "id binary, text binary, low long, high long"
 VARIANT = "key long, kind int, ord long"
 
 
@@ -67,6 +70,14 @@ def line_id(words: list[bytes]) -> bytes:
     return xxhash.xxh3_128_digest(b" ".join(words))
 
 
+def line_marks(words: list[bytes]) -> tuple[int, int]:
+    """A bit for each of 126 hashes, whether an odd number of the words has it, in two halves. An edit turns two bits at most."""
+    bits = 0
+    for word in words:
+        bits ^= 1 << crc32(word) % 126
+    return bits & ((1 << 63) - 1), bits >> 63
+
+
 def _long(data: bytes, seed: int) -> int:
     value = xxhash.xxh3_64_intdigest(data, seed)
     return value - (1 << 64) if value >> 63 else value
@@ -90,24 +101,41 @@ def most_edits(n: int | np.ndarray) -> int | np.ndarray:
     return n // (EDIT_SHARE - 1)
 
 
+class _Hashes(dict):
+    """Hashes of words, made once while they are held."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = value = xxhash.xxh64_intdigest(word, 42)
+        return value
+
+
+_hashes = _Hashes()
+
+
 def rare_pairs(lines: list[list[bytes]], seen: np.ndarray) -> list[np.ndarray]:
     """Per line the hashes of its rarest pairs of neighbouring words: as many as its edits can touch, and one more.
 
     ``seen`` tells how common the words of a slot are. Pairs are ordered by their rarer word, the other one and the hash.
     """
     sizes = np.fromiter(map(len, lines), np.int64, len(lines))
-    words = np.fromiter((xxhash.xxh64_intdigest(word, 42) for line in lines for word in line), np.uint64, sizes.sum())
+    if len(_hashes) >= HELD_LINES:
+        _hashes.clear()
+    words = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(lines)), np.uint64, sizes.sum())
     line = np.repeat(np.arange(len(lines)), sizes)
     inside = np.flatnonzero(line[1:] == line[:-1])
     line, first, second = line[inside], words[inside], words[inside + 1]
     key = (first ^ (second >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + second
     key ^= key >> np.uint64(32)
     a, b = (seen[(w & np.uint64(WORD_SLOTS - 1)).astype(np.int64)].astype(np.int64) for w in (first, second))
-    order = np.lexsort((key, np.maximum(a, b), np.minimum(a, b), line))
+    order = np.lexsort((key, line << 16 | np.minimum(a, b) << 8 | np.maximum(a, b)))  # ``seen`` is a byte
     starts = np.concatenate(([0], np.cumsum(sizes - 1)))
     taken = 2 * most_edits(sizes) + 1
-    key = key[order].view(np.int64)
-    return [np.unique(key[at : at + n]) for at, n in zip(starts, taken)]
+    rare = np.arange(len(line)) - starts[line] < taken[line]  # a line has the same places before and after the sort
+    key, line = key[order].view(np.int64)[rare], line[rare]
+    order = np.lexsort((key, line))
+    key, line = key[order], line[order]
+    first = np.concatenate(([True], (key[1:] != key[:-1]) | (line[1:] != line[:-1])))[: len(key)]
+    return np.split(key[first], np.searchsorted(line[first], np.arange(1, len(lines))))
 
 
 def bound(n: int) -> int:
@@ -265,14 +293,20 @@ def _keys(batches: Iterator[pd.DataFrame], seen: np.ndarray) -> Iterator[pd.Data
 
 
 def _texts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The lines that may be near others. Few of the copies in a task come twice."""
+    known: set[bytes] = set()
+
     def rows():
         for batch in batches:
             for text in batch["text"]:
                 for line in text.split(b"\n"):
-                    if len(words := line_words(line)) >= MIN_NEAR_WORDS:
-                        yield line_id(words), b" ".join(words)
+                    if len(words := line_words(line)) >= MIN_NEAR_WORDS and (id := line_id(words)) not in known:
+                        if len(known) >= HELD_LINES:
+                            known.clear()
+                        known.add(id)
+                        yield id, b" ".join(words), *line_marks(words)
 
-    yield from frames(rows(), ["id", "text"], 5_000)
+    yield from frames(rows(), ["id", "text", "low", "high"], 5_000)
 
 
 def _variants(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -309,6 +343,12 @@ def without_lines(texts: pd.Series, dropped: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["text", "n_lines", "n_left", "words_left"])
 
 
+def may_be_near() -> Column:
+    """Whether the marks of two lines differ by no more than their edits can turn."""
+    low, high = (F.bit_count(F.col(c).bitwiseXOR(F.col(f"other_{c}"))) for c in ("low", "high"))
+    return low + high <= 2 * F.greatest(F.lit(1), F.floor(F.greatest("n", "other_n") / EDIT_SHARE))
+
+
 def place() -> Column:
     """Where a line stands in the corpus. Nulls would sort first in a struct, so a flag goes before the id."""
     return F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row", "line")
@@ -336,13 +376,18 @@ def near_earlier(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     # Sorted by place, so that the row numbers below grow with it: one long for both identity and order.
     placed = distinct.select(F.xxhash64("id").alias("no"), "id", "n", "first").join(candidates, "no").orderBy("first")
     some = workspace.stored(placed.select("id", F.monotonically_increasing_id().alias("ord"), "n", "by_end", "shared_pairs"), "lines-candidates")
-    found = docs.select("text").mapInPandas(_texts, TEXT).join(some.select("id", "ord", "by_end"), "id")
-    texts = workspace.stored(found.groupBy("ord").agg(F.first("text").alias("text"), F.first("by_end").alias("by_end")), "lines-texts")
+    found = docs.select("text").mapInPandas(_texts, TEXT).join(some.select("id", "ord", "n", "by_end"), "id")
+    once = found.groupBy("id").agg(*(F.first(c).alias(c) for c in ("text", "low", "high", "ord", "n", "by_end")))
+    # By the key of the join, so that texts are moved this once: links go to where the texts lie.
+    texts = workspace.bucketed(once, "id", "lines_texts")
+    marked = texts.select("ord", "id", "n", "low", "high")
+    other_marked = marked.select(*(F.col(c).alias("other" if c == "ord" else f"other_{c}") for c in marked.columns))
 
     def verified(links: DataFrame) -> DataFrame:
-        """(ord) of the lines with a link (ord, other) within the bound."""
-        others = texts.select(F.col("ord").alias("other"), F.col("text").alias("other_text"))
-        met = links.join(texts.select("ord", "text"), "ord").join(others, "other")
+        """(ord) of the lines with a link (ord, other) within the bound. Texts are compared where the marks leave it open."""
+        open_ = links.join(marked, "ord").join(other_marked, "other").where(may_be_near()).select("ord", "id", "other_id")
+        others = texts.select(F.col("id").alias("other_id"), F.col("text").alias("other_text"))
+        met = open_.join(texts.select("id", "text"), "id").join(others, "other_id")
         return met.where(near_enough("text", "other_text")).select("ord").distinct()
 
     variants = texts.where("by_end").select("ord", "text").mapInPandas(_variants, VARIANT)

@@ -157,6 +157,39 @@ def test_one_key_shared_by_many_lines(spark):
     assert sorted(r.doc_id for r in rows if not r.n_near) == [0]
 
 
+def test_marks_leave_out_no_line_within_the_bound():
+    draw = random.Random(5)
+    kept = 0
+    for _ in range(2000):
+        a = [b"%d" % draw.randint(0, 400) for _ in range(draw.randint(10, 80))]
+        b, edits = list(a), draw.randint(0, 4)
+        for _ in range(edits):
+            at = draw.randrange(len(b))
+            b[at : at + draw.randint(0, 1)] = [b"x%d" % draw.randint(0, 99)] * draw.randint(0, 1)
+        other = [b"%d" % draw.randint(0, 400) for _ in range(30)]
+        turned, far = (sum((x ^ y).bit_count() for x, y in zip(lines.line_marks(a), lines.line_marks(c))) for c in (b, other))
+        assert turned <= 2 * edits
+        kept += far <= 2 * lines.bound(max(len(a), 30))
+    assert kept < 40
+
+
+def test_texts_stay_where_they_lie(spark, monkeypatch):
+    """Both times that links are verified they go to the texts, which lie in buckets."""
+    compared = []
+    verify = lines.near_enough
+    monkeypatch.setattr(lines, "near_enough", lambda a, b: compared.append((a, b)) or verify(a, b))
+    rare = "quince medlar loquat damson greengage bullace sloe"  # the rarest words of every line
+    draw = random.Random(8)
+    docs = [(i, " ".join([rare, *(f"w{draw.randint(0, 40)}" for _ in range(25))])) for i in range(60)]
+    docs += [(60, docs[0][1].replace("sloe", "slow"))]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id AS row", "doc_id", "encode(text, 'UTF-8') AS text")
+    distinct = lines.distinct_lines(lines.split(rows))
+    found = lines.near_earlier(rows, distinct)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert len(compared) == 2 and plan.count("Bucketed: true") >= 2
+    assert found.count() == 1
+
+
 def test_odd_rows(odd):
     rows = lines.judge(odd).collect()
     assert len(rows) == odd.count()
