@@ -27,6 +27,24 @@ def test_texts_are_cut_into_words_once_for_their_topics(spark, monkeypatch):
     assert kept and not texts.storageLevel.useDisk
 
 
+def test_topics_learn_from_each_text_once_in_every_step(spark, tmp_path, monkeypatch):
+    """Each text is a word of its own, as often as in the others: the model has seen all the words equally often."""
+    letters = "abcdefghijklmnop"
+    texts = [(i, f"word{a}{b} " * 1000) for i, (a, b) in enumerate((a, b) for a in letters for b in letters[:4])]
+    spark.createDataFrame(texts, "doc_id bigint, text string").repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("customer", "supplier", "orders", "lineitem"):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{SF}/{name}.parquet")
+    seen, fit = [], ml_models.mk.LDA.fit
+    monkeypatch.setattr(ml_models.mk.LDA, "fit", lambda self, rows: seen.append((rows.collect(), fit(self, rows))) or seen[-1][1])
+    assert [r for r in QUERIES["ml_cluster"](spark, str(tmp_path)).collect() if r.model == "topics"]
+    ((rows, model),) = seen
+    words = [int(w) for r in rows for w in r.features.indices]
+    assert len(set(words)) == len(words) == len(texts)
+    weights = model.topicsMatrix().toArray().sum(axis=1)
+    assert weights[words].max() < 1.05 * weights[words].min()
+    assert weights[words].min() > 10 * np.delete(weights, words).max()
+
+
 @pytest.mark.parametrize("name", ["ml_quantile_buckets", "ml_encoding_fitted", "ml_text_vectors", "ml_selection", "ml_recommend", "ml_stages"])
 def test_jobs_give_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
